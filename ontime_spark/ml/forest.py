@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,11 +68,12 @@ def build_pipeline(
     return Pipeline(stages=[*feature_stages(text, numbers), forest])
 
 
-def feature_columns(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Adds the feature vector as an array column ``featureValues``, by a fitted pipeline."""
-    from pyspark.ml.functions import vector_to_array
-
-    return model.transform(df).withColumn("featureValues", vector_to_array("features"))
+def feature_columns(df: DataFrame, features: PipelineModel, *keep: str) -> DataFrame:
+    """Each feature as a column of its own, from fitted feature stages."""
+    values = vector_to_array("features")
+    return features.transform(df).select(
+        *keep, *(F.get(values, F.lit(i)).alias(name) for i, name in enumerate(FEATURES))
+    )
 
 
 def scorable(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -80,9 +82,15 @@ def scorable(df: DataFrame, model: PipelineModel) -> DataFrame:
     Text the model has not seen has an index of its own; a missing or NaN number makes it skip
     the row.
     """
-    indexer, assembler = model.stages[0], model.stages[1]
-    numbers = [c for c in assembler.getInputCols() if c not in indexer.getOutputCols()]
-    return fill_missing_delays(df).na.drop(subset=numbers)
+    inputs = [
+        name
+        for stage in model.stages
+        if isinstance(stage, VectorAssembler)
+        for name in stage.getInputCols()
+    ]
+    numbers = [name for name in inputs if name in df.columns]
+    filled = fill_missing_delays(df)
+    return filled.na.drop(subset=numbers) if numbers else filled
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:

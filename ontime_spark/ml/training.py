@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ontime_spark.ml import forest
@@ -15,9 +15,18 @@ from ontime_spark.session import scratch_path
 from ontime_spark.sinks import database, marts
 
 
+@dataclass(frozen=True)
+class Sample:
+    """Training and test rows, read from the written sample, and how many rows each step kept."""
+
+    train: DataFrame
+    test: DataFrame
+    counts: dict[str, int]
+
+
 @dataclass(frozen=True)
 class Training:
-    """A fitted model and how it did. ``counts`` are rows cleaned, sampled, trained on, tested."""
+    """A fitted model and how it did."""
 
     model: PipelineModel
     metrics: DataFrame
@@ -26,56 +35,57 @@ class Training:
     counts: dict[str, int]
 
 
-def train(
+def draw_sample(
     rows: DataFrame,
-    pipeline: Pipeline | None = None,
     fraction: float = 0.2,
     train_fraction: float = 0.8,
     seed: int = 42,
     key: str | None = None,
-) -> Training:
-    """Fit and measure a model on records, or on a file read by header name.
+) -> Sample:
+    """Clean, sample and split records, or the rows of a file read by header name.
 
     The sample is written to the shared folder once: training reads it many times, and rows
     drawn at random must not be drawn anew when an executor is lost. With ``key`` the rows are
-    chosen by its hash, the same ones on any cluster.
+    chosen by its hash in whole percents, the same ones on any cluster.
     """
     spark = rows.sparkSession
     seen = Observation()
-    if key is None:
-        cleaned = clean_for_training(rows)
-    else:
-        named = rows.withColumn("_key", F.col(key).cast("string"))
-        cleaned = clean_for_training(named, keep=("_key",))
-    cleaned = cleaned.observe(seen, F.count(F.lit(1)).alias("cleaned"))
+    keep = () if key is None else (key,)
+    cleaned = clean_for_training(rows, keep=keep).observe(seen, F.count(F.lit(1)).alias("cleaned"))
     path = scratch_path(spark, "training-sample")
     if key is None:
         bernoulli_sample(cleaned, fraction, seed).write.parquet(path)
-        train_rows, test_rows = random_split(
-            spark.read.parquet(path), (train_fraction, 1 - train_fraction), seed
-        )
+        sample = spark.read.parquet(path)
+        parts = random_split(sample, (train_fraction, 1 - train_fraction), seed)
     else:
-        sampled = hash_sample(cleaned, "_key", round(fraction * 100))
-        hash_split(sampled, "_key", round(train_fraction * 100)).write.parquet(path)
-        parts = spark.read.parquet(path)
-        train_rows = parts.where(F.col("split") == "train")
-        test_rows = parts.where(F.col("split") == "test")
-
-    model = (pipeline or forest.build_pipeline(seed=seed)).fit(train_rows)
-    predictions = model.transform(test_rows)
-    sampled_rows = spark.read.parquet(path).count()
-    trained_rows = train_rows.count()
+        sampled = hash_sample(cleaned, key, round(fraction * 100))
+        hash_split(sampled, key, round(train_fraction * 100)).write.parquet(path)
+        sample = spark.read.parquet(path)
+        parts = [sample.where(F.col("split") == name).drop("split") for name in ("train", "test")]
+    sampled_rows, train_rows = sample.count(), parts[0].count()
+    counts = {
+        "cleaned": seen.get["cleaned"],
+        "sampled": sampled_rows,
+        "train": train_rows,
+        "test": sampled_rows - train_rows,
+    }
+    return Sample(parts[0], parts[1], counts)
+
+
+def train(rows: DataFrame, pipeline: Pipeline | None = None, **sampling) -> Training:
+    """Fit a model on a sample of ``rows`` and measure it on the part held out.
+
+    ``sampling`` goes to :func:`draw_sample`.
+    """
+    sample = draw_sample(rows, **sampling)
+    model = (pipeline or forest.build_pipeline()).fit(sample.train)
+    predictions = model.transform(sample.test)
     return Training(
         model=model,
         metrics=forest.regression_metrics(predictions),
-        importance=forest.feature_importance(spark, model),
+        importance=forest.feature_importance(rows.sparkSession, model),
         predictions=predictions,
-        counts={
-            "cleaned": seen.get["cleaned"],
-            "sampled": sampled_rows,
-            "train": trained_rows,
-            "test": sampled_rows - trained_rows,
-        },
+        counts=sample.counts,
     )
 
 

@@ -10,8 +10,23 @@ from ontime_spark.schemas import RAW_FIELDS, RECORD_COLUMNS
 
 REQUIRED = tuple(f for _, f, kind in RAW_FIELDS if kind in ("int", "double", "date"))
 
-
-def _typed(text: Column, kind: str, strict_int: bool) -> Column:
+# The first 27 fields of a line whose quotes, if any, do nothing but enclose whole fields.
+_FIELD = r'(?:"[^"]*+"|[^",]*+)'
+PLAIN_RECORD = rf"^({_FIELD}(?:,{_FIELD}){{{len(RAW_FIELDS) - 1}}})(?:,{_FIELD})*+$"
+CSV_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "misfit",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true",
+    "nanValue": "NaN",
+    "positiveInf": "Infinity",
+    "negativeInf": "-Infinity",
+}
+
+
+def _from_text(text: Column, kind: str, strict_int: bool) -> Column:
+    """One field from its text."""
     if kind == "text":
         return parsing.clean_text(text)
     if kind == "optional text":
@@ -25,6 +40,47 @@ def _typed(text: Column, kind: str, strict_int: bool) -> Column:
     return parsing.parse_int(text, strict=strict_int or kind == "int")
 
 
+def _csv_type(kind: str, strict_int: bool) -> str:
+    if kind == "int" or kind.endswith("double"):
+        return kind.removeprefix("optional ")
+    return "double" if kind == "optional int" and not strict_int else "string"
+
+
+def _from_csv(column: Column, kind: str, strict_int: bool) -> Column:
+    """One field as the CSV expression read it, its text null where empty."""
+    if kind == "int" or kind.endswith("double"):
+        return column
+    if kind == "optional int" and not strict_int:
+        return column.try_cast("int")
+    if kind == "date":
+        return parsing.parse_calendar_date(column)
+    return _from_text(F.coalesce(column, F.lit("")), kind, strict_int)
+
+
+def _exact_record(line: Column, strict_int: bool) -> Column:
+    """The 27 fields of any line, and ``fault``, by the letter."""
+
+    def typed(fields: Column) -> Column:
+        return F.struct(
+            (F.size(fields) >= len(RAW_FIELDS)).alias("complete"),
+            *(
+                _from_text(F.get(fields, F.lit(i)), kind, strict_int).alias(field)
+                for i, (_, field, kind) in enumerate(RAW_FIELDS)
+            ),
+        )
+
+    def judged(record: Column) -> Column:
+        fault = F.when(~record.getField("complete"), "columns")
+        for field in REQUIRED:
+            fault = fault.when(record.getField(field).isNull(), field)
+        return F.struct(
+            *(record.getField(f).alias(f) for f in RECORD_COLUMNS), fault.alias("fault")
+        )
+
+    fields = F.transform(parsing.split_line(line), parsing.clean_text)
+    return parsing.bind(parsing.bind(fields, typed), judged)
+
+
 def type_records(
     lines: DataFrame,
     strict_int: bool = False,
@@ -38,24 +94,44 @@ def type_records(
     ignored. ``strict_int`` applies to the optional whole numbers: with it ``1.00`` is
     unreadable, so both 15-minute flags of a standard file come out null.
 
+    Plain lines that read without trouble are taken as the CSV expression reads them. Every
+    other line is split and read once more by the letter, in the same pass.
+
     The counts ``published`` and ``skipped`` of the rows passing through are observed, as
     ``observation`` if given. The observation also keeps a later filter on ``fault`` from being
-    pushed below the parsing, where it would split every line once more per required field.
+    pushed below the parsing, where lines would be parsed once more to filter them.
     """
-    fields = lines.select("value", parsing.split_line(F.col("value")).alias("fields"), *keep)
-    typed = fields.select(
-        (F.size("fields") >= len(RAW_FIELDS)).alias("complete"),
+    schema = ", ".join(f"{f} {_csv_type(kind, strict_int)}" for _, f, kind in RAW_FIELDS)
+    plain = lines.select("value", F.regexp_extract("value", PLAIN_RECORD, 1).alias("plain"), *keep)
+    read = plain.select(
+        "value", F.from_csv("plain", f"{schema}, misfit string", CSV_OPTIONS).alias("csv"), *keep
+    )
+    quick = read.select(
+        "value",
         *(
-            _typed(F.get("fields", F.lit(i)), kind, strict_int).alias(field)
-            for i, (_, field, kind) in enumerate(RAW_FIELDS)
+            _from_csv(F.col(f"csv.{field}"), kind, strict_int).alias(field)
+            for _, field, kind in RAW_FIELDS
         ),
-        "value",
+        (F.col("csv").isNull() | F.col("csv.misfit").isNotNull()).alias("odd"),
         *keep,
     )
-    fault = F.when(~F.col("complete"), "columns")
+    odd = F.col("odd")
     for field in REQUIRED:
-        fault = fault.when(F.col(field).isNull(), field)
-    return typed.select(*RECORD_COLUMNS, "value", fault.alias("fault"), *keep).observe(
+        odd = odd | F.col(field).isNull()
+    # No element for a line that needs none, so nothing is worked out for it.
+    oddities = F.when(odd, F.array("value")).otherwise(F.array().cast("array<string>"))
+    exact = F.transform(oddities, lambda line: _exact_record(line, strict_int))
+    both = quick.withColumn("exact", F.get(exact, F.lit(0)))
+    is_odd = F.col("exact").isNotNull()
+    return both.select(
+        *(
+            F.when(is_odd, F.col(f"exact.{field}")).otherwise(F.col(field)).alias(field)
+            for field in RECORD_COLUMNS
+        ),
+        "value",
+        F.col("exact.fault").alias("fault"),
+        *keep,
+    ).observe(
         observation or "type_records",
         F.count_if(F.col("fault").isNull()).alias("published"),
         F.count_if(F.col("fault").isNotNull()).alias("skipped"),
