@@ -59,26 +59,33 @@ def _from_csv(column: Column, kind: str, strict_int: bool) -> Column:
 
 def _exact_record(line: Column, strict_int: bool) -> Column:
     """The 27 fields of any line, and ``fault``, by the letter."""
+    kinds: dict[str, list[int]] = {}
+    for position, (_, _, kind) in enumerate(RAW_FIELDS):
+        kinds.setdefault(kind, []).append(position)
 
     def typed(fields: Column) -> Column:
-        return F.struct(
-            (F.size(fields) >= len(RAW_FIELDS)).alias("complete"),
-            *(
-                _from_text(F.get(fields, F.lit(i)), kind, strict_int).alias(field)
-                for i, (_, field, kind) in enumerate(RAW_FIELDS)
-            ),
-        )
+        """One array per kind of field, so that each kind's reading is written out once."""
+
+        def of_kind(kind: str) -> Column:
+            return F.transform(
+                F.lit(kinds[kind]), lambda i: _from_text(F.get(fields, i), kind, strict_int)
+            ).alias(kind)
+
+        complete = F.size(fields) >= len(RAW_FIELDS)
+        return F.struct(complete.alias("complete"), *map(of_kind, kinds))
 
     def judged(record: Column) -> Column:
+        values = {
+            RECORD_COLUMNS[position]: F.get(record.getField(kind), F.lit(nth))
+            for kind, positions in kinds.items()
+            for nth, position in enumerate(positions)
+        }
         fault = F.when(~record.getField("complete"), "columns")
         for field in REQUIRED:
-            fault = fault.when(record.getField(field).isNull(), field)
-        return F.struct(
-            *(record.getField(f).alias(f) for f in RECORD_COLUMNS), fault.alias("fault")
-        )
+            fault = fault.when(values[field].isNull(), field)
+        return F.struct(*(values[f].alias(f) for f in RECORD_COLUMNS), fault.alias("fault"))
 
-    fields = F.transform(parsing.split_line(line), parsing.clean_text)
-    return parsing.bind(parsing.bind(fields, typed), judged)
+    return parsing.bind(parsing.bind(parsing.split_line(line), typed), judged)
 
 
 def type_records(
