@@ -48,7 +48,7 @@ def build_pipeline(
     depth: int = 10,
     bins: int = 400,
     seed: int = 42,
-    memory_mb: int = 1024,
+    memory_mb: int = 512,
 ) -> Pipeline:
     """Features and a random forest.
 

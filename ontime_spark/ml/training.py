@@ -35,6 +35,16 @@ class Training:
     counts: dict[str, int]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, when it comes in fewer partitions than there are.
+
+    Training goes over its rows many times, so one small file must not keep it on one core. Input
+    of any size has partitions enough and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def draw_sample(
     rows: DataFrame,
     fraction: float = 0.2,
@@ -54,12 +64,12 @@ def draw_sample(
     cleaned = clean_for_training(rows, keep=keep).observe(seen, F.count(F.lit(1)).alias("cleaned"))
     path = scratch_path(spark, "training-sample")
     if key is None:
-        bernoulli_sample(cleaned, fraction, seed).write.parquet(path)
+        spread(bernoulli_sample(cleaned, fraction, seed)).write.parquet(path)
         sample = spark.read.parquet(path)
         parts = random_split(sample, (train_fraction, 1 - train_fraction), seed)
     else:
         sampled = hash_sample(cleaned, key, round(fraction * 100))
-        hash_split(sampled, key, round(train_fraction * 100)).write.parquet(path)
+        spread(hash_split(sampled, key, round(train_fraction * 100))).write.parquet(path)
         sample = spark.read.parquet(path)
         parts = [sample.where(F.col("split") == name).drop("split") for name in ("train", "test")]
     sampled_rows, train_rows = sample.count(), parts[0].count()
