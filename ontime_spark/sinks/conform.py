@@ -37,39 +37,39 @@ def stored_schema(mart: Mart) -> T.StructType:
     return T.StructType(fields)
 
 
-def _fitted(name: str, sql_type: str) -> Column:
-    column = F.col(name)
-    if sql_type.startswith("NUMERIC"):
-        target = spark_type(sql_type)
-        # Half up on ten decimals first: a plain cast of 1.005 would keep the double's noise.
-        column = F.round(column.try_cast("decimal(28,10)"), target.scale)
-    return column.try_cast(spark_type(sql_type))
-
-
-def _misfit(name: str, sql_type: str, fitted: Column) -> Column:
-    if sql_type.startswith("VARCHAR"):
-        return F.coalesce(F.length(name) > int(re.findall(r"\d+", sql_type)[0]), F.lit(False))
-    return F.col(name).isNotNull() & fitted.isNull()
-
-
 def fit(df: DataFrame, table: str) -> DataFrame:
     """``df`` in the table's columns and types, plus ``fault``: null for a row that may be stored.
 
-    A null key is a fault, and so is a value the column cannot hold. A missing stamp column is
-    filled with the time of writing.
+    A null key is a fault, and so is a value the column cannot hold. Doubles are rounded half up
+    to the column's decimals. A missing stamp column is filled with the time of writing.
     """
     mart = MARTS[table]
     given = [(n, t) for n, t in mart.columns if n in df.columns or n != mart.stamp]
-    fault = F.lit(None).cast("string")
+    kinds = {name: field.dataType for name, field in zip(df.columns, df.schema.fields)}
+    faults = [(F.col(key).isNull(), f"null {key}") for key in mart.keys]
+    fitted = []
     for name, sql_type in given:
-        misfit = _misfit(name, sql_type, _fitted(name, sql_type))
-        fault = F.coalesce(fault, F.when(misfit, F.lit(f"value of {name}")))
-    for key in mart.keys:
-        fault = F.coalesce(F.when(F.col(key).isNull(), F.lit(f"null {key}")), fault)
-    columns = [_fitted(n, t).alias(n) for n, t in given]
+        kind = spark_type(sql_type)
+        if kinds[name] == kind:
+            fitted.append(F.col(name))
+        else:
+            # Next to the value as given, so that the cast is worked out once for both its uses.
+            fitted.append(F.struct(F.col(name).alias("given"), F.col(name).try_cast(kind).alias("fit")))
+            lost = F.col(f"{name}.given").isNotNull() & F.col(f"{name}.fit").isNull()
+            faults.append((lost, f"value of {name}"))
+        if sql_type.startswith("VARCHAR"):
+            limit = int(re.findall(r"\d+", sql_type)[0])
+            faults.append((F.length(name) > limit, f"value of {name}"))
+    fault = F.lit(None).cast("string")
+    for wrong, text in reversed(faults):
+        fault = F.when(wrong, text).otherwise(fault)
+    columns = [
+        (F.col(n) if kinds[n] == spark_type(t) else F.col(f"{n}.fit")).alias(n) for n, t in given
+    ]
     if mart.stamp and mart.stamp not in df.columns:
         columns.append(F.current_timestamp().alias(mart.stamp))
-    return df.select(*columns, fault.alias("fault"))
+    named = [c.alias(n) for c, (n, _) in zip(fitted, given)]
+    return df.select(*named).select(*columns, fault.alias("fault"))
 
 
 def conform(df: DataFrame, table: str, unique: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -81,7 +81,8 @@ def upsert(
             merged.write.mode("overwrite").parquet(staged)
         complete = spark.read.schema(schema).parquet(staged)
         if by:
-            _overwrite_partitions(complete.hint("rebalance", *by), path, by)
+            # Already grouped by date, file by file: no second shuffle.
+            _overwrite_partitions(complete, path, by)
         else:
             complete.write.mode("overwrite").parquet(path)
         files.delete(spark, staged)
