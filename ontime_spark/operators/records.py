@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -139,7 +141,8 @@ def type_records(
         F.col("exact.fault").alias("fault"),
         *keep,
     ).observe(
-        observation or "type_records",
+        # A name of its own, so that several inputs can meet in one query.
+        observation or f"type_records-{uuid.uuid4().hex}",
         F.count_if(F.col("fault").isNull()).alias("published"),
         F.count_if(F.col("fault").isNotNull()).alias("skipped"),
     )

@@ -11,7 +11,7 @@ from ontime_spark.functions import parsing
 from ontime_spark.functions.messages import decode_events, encode_events
 from ontime_spark.operators import records
 from ontime_spark.schemas import CAUSE_DELAYS, RAW_COLUMNS
-from ontime_spark.sources.raw_csv import drop_header, read_by_name, read_raw
+from ontime_spark.sources.raw_csv import drop_header, read_by_name, read_raw, stream_raw
 
 LINES = {
     "valid": rows.line(rows.VALID),
@@ -176,6 +176,26 @@ def test_good_and_quarantine_make_up_the_input(lines):
     )
 
 
+def test_two_inputs_in_one_query(lines):
+    first, rest = (records.parse_records(lines.where(c))[0] for c in ("name = 'valid'", "name <> 'valid'"))
+    assert first.union(rest).count() == len(GOOD)
+
+
+def test_lines_that_keep_arriving(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{','.join(RAW_COLUMNS)}\n{LINES['valid']}\nbad,data\n")
+    good, _ = records.parse_records(stream_raw(spark, str(folder), 1))
+    running = (
+        good.writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    running.awaitTermination()
+    assert [r["carrier"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["AA"]
+
+
 @pytest.mark.parametrize(
     "text, fields",
     [
