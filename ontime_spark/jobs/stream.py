@@ -19,6 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     add_topic(parser)
     add_marts(parser)
     parser.add_argument("--checkpoints", required=True, help="folder of the queries' progress")
+    parser.add_argument("--quarantine", help="folder for rows no mart takes (default: --marts)")
     parser.add_argument("--starting-offsets", default="earliest")
     parser.add_argument("--max-per-batch", help="messages (Kafka) or files a batch may take")
     parser.add_argument("--model", help="saved model; without one nothing is scored")
@@ -49,7 +50,12 @@ def main(argv: list[str] | None = None) -> None:
     if jdbc is not None:
         database.create_tables(spark, jdbc)
     trigger = {"availableNow": True} if args.available_now else None
-    where = {"checkpoints": args.checkpoints, "trigger": trigger, "jdbc": jdbc}
+    where = {
+        "checkpoints": args.checkpoints,
+        "trigger": trigger,
+        "jdbc": jdbc,
+        "quarantine": args.quarantine,
+    }
     running = start_aggregates(
         events, args.marts, time_col=time_col, watermark=args.watermark, **where
     )

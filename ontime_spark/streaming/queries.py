@@ -37,6 +37,14 @@ def run_name(checkpoint: str) -> str:
     return hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
 
+def _set_aside(
+    report: DataFrame | None, folder: str | None, table: str, batch_id: int, run: str
+) -> None:
+    """Keep the rows a table could not take, where there is a folder for them."""
+    if report is not None and folder is not None and not report.isEmpty():
+        marts.write_report(report, folder, table, batch_id, run)
+
+
 def _start(
     df: DataFrame,
     name: str,
@@ -63,6 +71,7 @@ def start_aggregates(
     trigger: dict | None = None,
     jdbc: dict[str, str] | None = None,
     on_batch: OnBatch | None = None,
+    quarantine: str | None = None,
     only: Sequence[str] | None = None,
 ) -> list[StreamingQuery]:
     """Start the windowed aggregates of decoded ``events`` into the marts below ``root``.
@@ -71,7 +80,7 @@ def start_aggregates(
     ``watermark`` to a stream that is to run for long; without one its state only grows.
 
     Rows without a key come from messages that could not be read; they are set aside, with their
-    count, in the mart's quarantine table (file marts).
+    count, in ``<table>_quarantine`` below ``quarantine``, or else below ``root``.
     """
 
     def writer_of(table: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
@@ -82,13 +91,11 @@ def start_aggregates(
                 if on_batch is not None:
                     on_batch(table, batch, batch_id)
                 if jdbc is not None:
-                    database.upsert(batch, jdbc, table, batch_id, run, unique=True)
-                    return
-                report = marts.upsert(
-                    batch, root, table, batch_id, staging=f"{checkpoint}/staging", unique=True
-                )
-                if report is not None and not report.isEmpty():
-                    marts.write_report(report, root, table, batch_id, run)
+                    report = database.upsert(batch, jdbc, table, batch_id, run, unique=True)
+                else:
+                    staging = f"{checkpoint}/staging"
+                    report = marts.upsert(batch, root, table, batch_id, staging, unique=True)
+                _set_aside(report, quarantine or root, table, batch_id, run)
 
         return write
 
@@ -117,11 +124,12 @@ def start_scoring(
     trigger: dict | None = None,
     jdbc: dict[str, str] | None = None,
     on_batch: OnBatch | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery | None:
     """Start scoring decoded ``events``; None without a model.
 
     ``cap`` rows of each batch are kept, the first in ``order``, or any if that is None; ``cap``
-    None keeps them all.
+    None keeps them all. Rows the table cannot take are set aside as by :func:`start_aggregates`.
     """
     if model is None:
         return None
@@ -140,9 +148,10 @@ def start_scoring(
             if on_batch is not None:
                 on_batch(table, scored, batch_id)
             if jdbc is not None:
-                database.append(scored, jdbc, table)
+                report = database.append(scored, jdbc, table)
             else:
-                marts.append_batch(scored, root, table, batch_id, run)
+                report = marts.append_batch(scored, root, table, batch_id, run)
+            _set_aside(report, quarantine or root, table, batch_id, run)
 
     return _start(events, name, "append", write, checkpoint, trigger)
 

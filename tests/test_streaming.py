@@ -208,6 +208,24 @@ def test_scoring_any_rows(spark, topic, tmp_path):
     assert read_mart(spark, "flight_predictions", root).count() == 50
 
 
+def test_scored_rows_the_table_cannot_take_are_set_aside(spark, topic, tmp_path):
+    root = str(tmp_path)
+    long = stream(spark, topic, 4).withColumn(
+        "flightNumber", F.when(F.col("carrier") == "CL", "much too long").otherwise(F.col("flightNumber"))
+    )
+    finish(
+        [
+            queries.start_scoring(
+                long, catalog.fixed_model(), root, f"{root}/c", cap=None, trigger=NOW, quarantine=f"{root}/q"
+            )
+        ]
+    )
+    kept = read_mart(spark, "flight_predictions", root).count()
+    apart = spark.read.parquet(f"{root}/q/flight_predictions_quarantine")
+    assert {r[0] for r in apart.select("carrier").distinct().collect()} == {"CL"}
+    assert kept + apart.count() == spark.read.parquet(topic).count()
+
+
 def test_no_scoring_without_a_model(spark, topic, tmp_path):
     assert queries.start_scoring(stream(spark, topic), None, str(tmp_path), str(tmp_path)) is None
 
