@@ -7,6 +7,11 @@ are stored in a trie whose nodes are runs of n-grams: a set is matched against t
 root, so that sets with the same beginning share the overlap counted so far, and a subtree is left
 as soon as what remains of both sides cannot reach the overlap that similarity asks for. Only links
 that join two groups of already linked sets are put out, which leaves components as they are.
+
+Whole sets travel as little as possible. Histograms of the sets' hashes, a sixteenth of their size,
+give an upper bound of each overlap and drop classes from groups where they can have no partner. Then
+each class is matched in its largest group only; what remains are groups that still hold sets of
+different components, and there only pairs of different components are looked at.
 """
 
 from __future__ import annotations
@@ -143,7 +148,8 @@ class Trie:
 def link_sets(sets: list[np.ndarray], percent: int, label: np.ndarray, guest: np.ndarray | None = None):
     """Pairs (i, j) of similar sets, enough to connect what similarity connects; ``label`` is updated.
 
-    Sets with equal labels are linked already. With ``guest``, only pairs of a guest and another count.
+    Sets with equal labels are linked already. With ``guest`` (0 at home, 1 a guest, 2 both), only pairs
+    of a guest and one at home count.
     """
     m = len(sets)
     everything = np.concatenate(sets)
@@ -163,7 +169,7 @@ def link_sets(sets: list[np.ndarray], percent: int, label: np.ndarray, guest: np
         label[label == label[j]] = label[i]
 
     def wanted(i: int, j: int) -> bool:
-        return label[i] != label[j] and (guest is None or guest[i] != guest[j])
+        return label[i] != label[j] and (guest is None or guest[i] != guest[j] or guest[i] == 2)
 
     def similar(i: int, j: int) -> bool:
         need = least_overlap(len(rows[i]), len(rows[j]), percent)
@@ -208,22 +214,90 @@ def _traverse(trie, rows, percent, label, guest, wanted, join, universe) -> None
 LINK = "u long, v long"
 
 
+def sketch(part: np.ndarray) -> bytes:
+    """How many hashes begin with each value of their first bits, about four a value; 16 bits each."""
+    bits = max(0, int(len(part)).bit_length() - 2)
+    if bits == 0:
+        return np.array([len(part)], np.uint16).tobytes()
+    where = (part >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(where, minlength=1 << bits), 65535).astype(np.uint16).tobytes()
+
+
+def _partners(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets can be similar to another one: the smaller of two counts bounds what each value shares."""
+    out = np.zeros(len(sizes), bool)
+    width = min(len(k) for k in sketches)
+    folded = np.stack([k.reshape(width, -1).sum(axis=1) for k in sketches]).astype(np.int32)
+    order = np.argsort(sizes, kind="stable")
+    sizes, folded = sizes[order], folded[order]
+    for i in range(len(order)):
+        stop = int(np.searchsorted(sizes, 100 * sizes[i] // percent, "right"))
+        if stop <= i + 1:
+            continue
+        need = -(-percent * (sizes[i] + sizes[i + 1 : stop]) // (100 + percent))
+        fits = np.minimum(folded[i], folded[i + 1 : stop]).sum(axis=1) >= need
+        if fits.any():
+            out[i] = True
+            out[i + 1 : stop] |= fits
+    back = np.zeros(len(order), bool)
+    back[order] = out
+    return back
+
+
+def _drop_lonely(percent: int):
+    """A mapper over rows (grp, cid, n, sketch), those of a group together, to (grp, cid) that may have a partner."""
+
+    def close(grp, rows):
+        if len(rows) < 2:
+            return []
+        sizes = np.array([r[1] for r in rows], np.int64)
+        bands: dict[int, list[int]] = {}
+        for i in np.argsort(sizes, kind="stable").tolist():
+            bands.setdefault(int(sizes[i]).bit_length(), []).append(i)
+        out = set()
+        for band, own in bands.items():  # sets of different bands fold to the coarser histogram
+            both = own + bands.get(band + 1, [])
+            for some in ([own] if len(both) == len(own) else [own, both]):
+                if len(some) > 1:
+                    good = _partners(sizes[some], [np.frombuffer(rows[i][2], np.uint16) for i in some], percent)
+                    out.update(rows[i][0] for i, g in zip(some, good) if g)
+        return [(grp, cid) for cid in out]
+
+    def apply(batches):
+        key, rows = None, []
+        for batch in batches:
+            found = []
+            for grp, *row in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+                if grp != key:
+                    found += close(key, rows)
+                    key, rows = grp, []
+                rows.append(row)
+            yield _pairs(found)
+        yield _pairs(close(key, rows))
+
+    def _pairs(found):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["grp", "cid"]
+        )
+
+    return apply
+
+
 def _link_groups(percent: int):
     """A mapper over rows (grp, block, cid, label, guest, members), those of a group and block together."""
 
     def close(rows):
-        seen, ids, labels, guests, sets = set(), [], [], [], []
+        held: dict[int, list] = {}
         for cid, label, guest, members in rows:
-            if cid not in seen:
-                seen.add(cid)
-                ids.append(cid)
-                labels.append(label)
-                guests.append(guest)
-                sets.append(np.frombuffer(members, np.uint64))
-        if len(ids) < 2:
+            if cid in held:
+                held[cid][1] = held[cid][1] if held[cid][1] == guest else 2
+            else:
+                held[cid] = [label, guest, np.frombuffer(members, np.uint64)]
+        if len(held) < 2:
             return []
+        ids, (labels, guests, sets) = list(held), zip(*held.values())
         guest = np.array(guests) if any(guests) else None
-        return [(ids[i], ids[j]) for i, j in link_sets(sets, percent, np.array(labels), guest)]
+        return [(ids[i], ids[j]) for i, j in link_sets(list(sets), percent, np.array(labels), guest)]
 
     def apply(batches):
         key, rows = None, []
@@ -270,11 +344,12 @@ def document_classes(
 
     def describe():
         def one(column):
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, prefixes, sketches = [], [], [], []
             for part in shingle_sets(column, words):
                 n = len(part)
                 sizes.append(n)
                 digests.append(hashlib.blake2b(part.tobytes(), digest_size=16).digest() if n else None)
+                sketches.append(sketch(part) if n else None)
                 take = n - least_size(n, percent) + 1 if n else 0
                 seldom = ranks.value[_bucket(part)]
                 if 0 < take < n:
@@ -283,13 +358,14 @@ def document_classes(
                 prefixes.append(part[np.lexsort((part, seldom))][:take].view(np.int64))
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            return [sizes, digests, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            return [sizes, digests, sketches, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
 
         return one
 
     fields = [
         T.StructField("n_shingles", T.LongType()),
         T.StructField("digest", T.BinaryType()),
+        T.StructField("sketch", T.BinaryType()),
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
     described = keep(with_arrow(texts, ["text"], fields, describe, ["id"]), "described")
@@ -297,7 +373,7 @@ def document_classes(
     classes = keep(
         described.filter("digest is not null")
         .groupBy("digest")
-        .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+        .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
@@ -305,7 +381,6 @@ def document_classes(
 
 
 def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    spark = texts.sparkSession
     heads = classes.select("cid", "n", F.explode("prefix").alias("gram"))
     # Equal lists of classes need to be looked at once: lists are told apart by two sums of hashes.
     lists = (
@@ -321,43 +396,49 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
     )
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") * 8 / BLOCK_BYTES)).cast("int")
     groups = keep(
-        heads.join(lists, "gram").select("grp", "cid", blocks.alias("blocks")).distinct(), "groups"
+        heads.join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
     )
-    sets = _sets_of(texts, classes, groups, words)
+    # A group of one block drops members without a partner; larger ones, mostly near copies, keep all.
+    sketched = groups.filter("blocks = 1").join(classes.select("cid", "n", "sketch"), "cid").select("grp", "cid", "n", "sketch")
+    paired = sketched.repartition("grp").sortWithinPartitions("grp").mapInArrow(_drop_lonely(percent), "grp long, cid long")
+    groups = keep(
+        groups.join(paired.distinct(), ["grp", "cid"]).unionByName(groups.filter("blocks > 1")), "paired"
+    )
+    sets = keep(_sets_of(texts, classes, groups, words), "sets")
 
     home = F.pmod(F.xxhash64("cid", "grp"), F.col("blocks")).cast("int")
-    pivot = F.pmod(F.xxhash64("cid", "grp", F.lit(7)), F.col("blocks") * BLOCK) < PIVOTS
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    first = groups.select(
+    # First each class in its largest group; a few members of a large group visit all its blocks.
+    chosen = groups.groupBy("cid").agg(F.max_by(F.struct("grp", "blocks"), F.struct("m", "grp")).alias("g")).select("cid", "g.*")
+    pivot = F.pmod(F.xxhash64("cid", "grp", F.lit(7)), F.col("blocks") * BLOCK) < PIVOTS
+    first = chosen.select(
         "grp", F.explode(F.when((F.col("blocks") > 1) & pivot, every).otherwise(F.array(home))).alias("block"),
-        "cid", F.col("cid").alias("label"), F.lit(False).alias("guest"),
+        "cid", F.col("cid").alias("label"), F.lit(0).alias("guest"),
     )
     links = keep(_run_groups(first, sets, percent), "links")
-    large = groups.filter("blocks > 1")
-    if large.isEmpty():  # every group had one trie, so every pair has been looked at
-        return links
 
-    # Groups over several tries: whoever is outside the group's main component visits all the others.
+    # Then groups that still hold several components. Who is outside the main one visits all blocks.
     roots = components(links)
-    placed = large.join(roots, large.cid == roots.node, "left").select(
-        "grp", "cid", "blocks", F.coalesce("root", "cid").alias("label")
+    placed = keep(
+        groups.join(roots, groups.cid == roots.node, "left").select("grp", "cid", "blocks", F.coalesce("root", "cid").alias("label")),
+        "placed",
     )
-    placed = keep(placed, "placed")
     sizes = placed.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("grp").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
-    main = main.select("grp", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("visits")).filter("visits > 0")
+    main = sizes.groupBy("grp").agg(
+        F.max_by("label", F.struct("c", "label")).alias("main"), (F.sum("c") - F.max("c")).alias("others")
+    )
+    main = main.filter("others > 0").select("grp", "main", F.ceil(F.col("others") / BLOCK).cast("int").alias("visits"))
     placed = placed.join(main, "grp")
+    alone = F.col("blocks") == 1
     stays = placed.select(
-        "grp", "cid", "label", F.lit(False).alias("guest"), home.alias("home"),
-        F.explode(F.sequence(F.lit(0), F.col("visits") - 1)).alias("visit"),
+        "grp", "cid", "label", F.lit(0).alias("guest"), home.alias("home"),
+        F.explode(F.when(alone, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("visits") - 1))).alias("visit"),
     )
-    goes = placed.filter("label != main").select(
-        "grp", "cid", "label", F.lit(True).alias("guest"), F.explode(every).alias("home"),
-        F.pmod(F.xxhash64("cid", F.lit(3)), F.col("visits")).cast("int").alias("visit"), home.alias("own"),
-    ).filter("home != own").drop("own")
-    second = stays.unionByName(goes).select(
-        "grp", F.xxhash64("home", "visit").alias("block"), "cid", "label", "guest"
+    goes = placed.filter(~alone & (F.col("label") != F.col("main"))).select(
+        "grp", "cid", "label", F.lit(1).alias("guest"), F.explode(every).alias("home"),
+        F.pmod(F.xxhash64("cid", F.lit(3)), F.col("visits")).cast("int").alias("visit"),
     )
+    second = stays.unionByName(goes).select("grp", F.xxhash64("home", "visit").alias("block"), "cid", "label", "guest")
     return links.union(_run_groups(second, sets, percent))
 
 
