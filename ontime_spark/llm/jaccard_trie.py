@@ -8,7 +8,7 @@ root, so that sets with the same beginning share the overlap counted so far, and
 as soon as what remains of both sides cannot reach the overlap that similarity asks for. Only links
 that join two groups of already linked sets are put out, which leaves components as they are.
 
-Whole sets travel as little as possible. Histograms of the sets' hashes, a sixteenth of their size,
+Whole sets travel as little as possible. Histograms of the sets' hashes, a fortieth of their size,
 give an upper bound of each overlap and drop classes from groups where they can have no partner. Then
 each class is matched in its largest group only; what remains are groups that still hold sets of
 different components, and there only pairs of different components are looked at.
@@ -29,7 +29,7 @@ from ontime_spark.llm.common import chunks, keep, mix64, with_arrow, word_hashes
 from ontime_spark.llm.links import components
 
 SPACE = b" \t\n\x0b\x0c\r"
-RANK_BITS = 20
+RANK_BITS = 22
 PAGE_BITS = 12  # the counts travel in pages of so many buckets
 BLOCK = 512  # sets of a group that one trie holds
 BLOCK_BYTES = 32 << 20
@@ -65,15 +65,15 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def rank_table(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
-    """How many texts hold an n-gram of each of 2**20 hash buckets, over all texts.
+    """How many texts hold an n-gram of each of 2**22 hash buckets, over all texts.
 
-    The table orders n-grams, rare ones first. It has a fixed size (4 MB), and any order gives the
+    The table orders n-grams, rare ones first. It has a fixed size (16 MB), and any order gives the
     same links; each task sends its counts in pages, saturated at 255.
     """
     page = 1 << PAGE_BITS
 
     def count(batches):
-        total = np.zeros(1 << RANK_BITS, np.int64)
+        total = np.zeros(1 << RANK_BITS, np.int32)
         for batch in batches:
             for part in shingle_sets(batch.column(0), words):
                 np.add.at(total, _bucket(part), 1)
@@ -215,8 +215,8 @@ LINK = "u long, v long"
 
 
 def sketch(part: np.ndarray) -> bytes:
-    """How many hashes begin with each value of their first bits, about four a value; 16 bits each."""
-    bits = max(0, int(len(part)).bit_length() - 2)
+    """How many hashes begin with each value of their first bits, about twelve a value; 16 bits each."""
+    bits = max(0, int(len(part)).bit_length() - 4)
     if bits == 0:
         return np.array([len(part)], np.uint16).tobytes()
     where = (part >> np.uint64(64 - bits)).astype(np.int64)
