@@ -74,6 +74,10 @@ def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def _is_kind(kind: str) -> Callable:
+    return lambda span: span["kind"] == kind
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_personal_data(docs, pii.train(), keep_columns=["doc_id"])
@@ -81,10 +85,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-    counts = [
-        F.size(F.filter("personal", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
-        for k in pii.KINDS
-    ]
+    counts = [F.size(F.filter(base, _is_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written("personal").alias("spans")
     )
