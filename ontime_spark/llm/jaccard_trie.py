@@ -381,22 +381,31 @@ def document_classes(
 
 
 def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    heads = classes.select("cid", "n", F.explode("prefix").alias("gram"))
+    heads = classes.select("cid", "n", F.posexplode("prefix").alias("place", "gram"))
     # Equal lists of classes need to be looked at once: lists are told apart by two sums of hashes.
-    lists = (
-        heads.groupBy("gram")
-        .agg(
-            F.count(F.lit(1)).alias("m"),
-            F.sum("n").alias("size"),
-            F.expr("bit_xor(xxhash64(cid))").alias("x"),
-            F.sum(F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(1 << 31))).alias("y"),
-        )
-        .filter("m > 1")
-        .select("gram", "m", "size", F.xxhash64("m", "x", "y").alias("grp"))
+    lists = heads.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.sum("n").alias("size"),
+        F.expr("bit_xor(xxhash64(cid))").alias("x"),
+        F.sum(F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(1 << 31))).alias("y"),
+        F.min(F.struct("n", "place")).alias("a"),
+        F.max(F.struct("n", "place")).alias("b"),
+    )
+    # Of a list of two, both sizes and places are known: what comes before and after the shared n-gram bounds
+    # the overlap. In longer lists no two sets can be similar if even neighbours in size can't be; three show it.
+    least = lambda a, b: F.ceil(percent * (a + b) / (100 + percent))
+    within = F.least(F.col("a.place"), F.col("b.place")) + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
+    middle = F.col("size") - F.col("a.n") - F.col("b.n")
+    near = lambda a, b: 100 * a >= percent * b
+    possible = (
+        F.when(F.col("m") == 2, near(F.col("a.n"), F.col("b.n")) & (within >= least(F.col("a.n"), F.col("b.n"))))
+        .when(F.col("m") == 3, near(F.col("a.n"), middle) | near(middle, F.col("b.n")))
+        .otherwise(F.col("m") > 3)
     )
+    lists = lists.filter(possible).select("gram", "m", "size", F.xxhash64("m", "x", "y").alias("grp"))
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") * 8 / BLOCK_BYTES)).cast("int")
     groups = keep(
-        heads.join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
+        heads.select("gram", "cid").join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
     )
     # A group of one block drops members without a partner; larger ones, mostly near copies, keep all.
     sketched = groups.filter("blocks = 1").join(classes.select("cid", "n", "sketch"), "cid").select("grp", "cid", "n", "sketch")

@@ -41,7 +41,7 @@ def rates(
         weighed = sizes.withColumn("w", F.pow("n", F.lit(temperature)))
     else:
         # a mixture's weights are a setting: as many as there are names in it
-        table = docs.sparkSession.createDataFrame(list(weights.items()), "source string, w double")
+        table = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()], "source string, w double")
         weighed = sizes.join(table, "source")
     all_weights = weighed.agg(F.sum("w")).first()[0] or 1.0
     all_rows = sizes.agg(F.sum("n")).first()[0] or 0
