@@ -368,8 +368,9 @@ def document_classes(
         T.StructField("sketch", T.BinaryType()),
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
-    described = keep(with_arrow(texts, ["text"], fields, describe, ["id"]), "described")
-    members = described.select("id", "n_shingles", "digest")
+    # Two passes: what the first writes is small, and the second's prefixes go straight to their classes.
+    members = keep(with_arrow(texts, ["text"], fields[:2], lambda: lambda c: describe()(c)[:2], ["id"]), "members")
+    described = with_arrow(texts, ["text"], fields, describe, ["id"])
     classes = keep(
         described.filter("digest is not null")
         .groupBy("digest")
@@ -382,15 +383,18 @@ def document_classes(
 
 def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     heads = classes.select("cid", "n", F.posexplode("prefix").alias("place", "gram"))
-    # Equal lists of classes need to be looked at once: lists are told apart by two sums of hashes.
+    # Equal lists of classes need to be looked at once: lists are told apart by a sum of hashes and their length.
+    # Size and place travel as one number, so that the aggregate's rows stay small.
+    both = F.shiftleft(F.col("n"), 31) + F.col("place")
     lists = heads.groupBy("gram").agg(
         F.count(F.lit(1)).alias("m"),
         F.sum("n").alias("size"),
         F.expr("bit_xor(xxhash64(cid))").alias("x"),
-        F.sum(F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(1 << 31))).alias("y"),
-        F.min(F.struct("n", "place")).alias("a"),
-        F.max(F.struct("n", "place")).alias("b"),
+        F.min(both).alias("least"),
+        F.max(both).alias("most"),
     )
+    member = lambda c: F.struct(F.shiftright(c, 31).alias("n"), F.col(c).bitwiseAND((1 << 31) - 1).alias("place"))
+    lists = lists.withColumns({"a": member("least"), "b": member("most")})
     # Of a list of two, both sizes and places are known: what comes before and after the shared n-gram bounds
     # the overlap. In longer lists no two sets can be similar if even neighbours in size can't be; three show it.
     least = lambda a, b: F.ceil(percent * (a + b) / (100 + percent))
@@ -402,10 +406,11 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
         .when(F.col("m") == 3, near(F.col("a.n"), middle) | near(middle, F.col("b.n")))
         .otherwise(F.col("m") > 3)
     )
-    lists = lists.filter(possible).select("gram", "m", "size", F.xxhash64("m", "x", "y").alias("grp"))
+    lists = lists.filter(possible).select("gram", "m", "size", F.xxhash64("m", "x").alias("grp"))
+    lists = keep(lists, "lists")
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") * 8 / BLOCK_BYTES)).cast("int")
     groups = keep(
-        heads.select("gram", "cid").join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
+        _heads_in(classes, lists).join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
     )
     # A group of one block drops members without a partner; larger ones, mostly near copies, keep all.
     sketched = groups.filter("blocks = 1").join(classes.select("cid", "n", "sketch"), "cid").select("grp", "cid", "n", "sketch")
@@ -451,6 +456,31 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
     return links.union(_run_groups(second, sets, percent))
 
 
+def _bit_pages(places: DataFrame, bits: int) -> np.ndarray:
+    """A bit map with the places (0 to 2**bits - 1) set, in pages of 4 KB; its size is fixed."""
+    pages = places.toDF("p").select(F.floor(F.col("p") / 32768).alias("page"), (F.col("p") % 32768).alias("bit"))
+    out = np.zeros((1 << bits) // 8, np.uint8).reshape(-1, 4096)
+    for row in pages.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # one row a page
+        out[row["page"]] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _heads_in(classes: DataFrame, lists: DataFrame, bits: int = 26) -> DataFrame:
+    """(gram, cid) of the prefixes, without most n-grams that are in no list: a bit map of 8 MB tells them."""
+    held = _bit_pages(lists.select(F.pmod("gram", F.lit(1 << bits))), bits)
+    shared = classes.sparkSession.sparkContext.broadcast(held.reshape(-1))
+
+    def apply(batches):
+        for batch in batches:
+            grams = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            cids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.asarray(batch.column(1).value_lengths()))
+            p = grams & ((1 << bits) - 1)
+            hit = (shared.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([pa.array(grams[hit]), pa.array(cids[hit])], names=["gram", "cid"])
+
+    return classes.select("cid", "prefix").mapInArrow(apply, "gram long, cid long")
+
+
 def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int) -> DataFrame:
     """(cid, members) of the classes in ``groups``, from the texts again.
 
@@ -459,10 +489,7 @@ def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int
     spark = texts.sparkSession
     wanted = keep(classes.join(groups.select("cid").distinct(), "cid").select("cid", "digest", "rep"), "wanted")
     place = F.pmod(F.xxhash64("rep"), F.lit(1 << 23))
-    pages = wanted.select(place.alias("p")).select(F.floor(F.col("p") / 32768).alias("page"), (F.col("p") % 32768).alias("bit"))
-    bits = np.zeros((1 << 23) // 8, np.uint8).reshape(-1, 4096)
-    for row in pages.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # 256 pages at most
-        bits[row["page"]] = np.frombuffer(row["bits"], np.uint8)
+    bits = _bit_pages(wanted.select(place), 23)
     shared = spark.sparkContext.broadcast(bits)
 
     def apply(batches):
