@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     if args.quarantine:
         rejected.write.mode("overwrite").parquet(args.quarantine)
     counts = dict(seen.get)
-    print(f"Published: {counts['published']} records | Skipped: {counts['skipped']} malformed rows")
+    print(f"{counts['published']} messages sent, {counts['skipped']} lines rejected")
     return counts
 
 

@@ -24,7 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--max-per-batch", help="messages (Kafka) or files a batch may take")
     parser.add_argument("--model", help="saved model; without one nothing is scored")
     parser.add_argument("--model-optional", action="store_true", help="go on if it cannot be loaded")
-    parser.add_argument("--cap", type=int, default=50, help="scored rows kept per batch, 0 for all")
+    parser.add_argument("--cap", type=int, default=0, help="scored rows kept per batch, 0 for all")
     parser.add_argument("--watermark", help="e.g. '1 hour': windows older than that are dropped")
     parser.add_argument("--event-time", action="store_true", help="window by the message's time")
     parser.add_argument("--available-now", action="store_true", help="stop at the end of the topic")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.sql import functions as F
+
 from ontime_spark.jobs.options import add_marts, jdbc_of
 from ontime_spark.ml.forest import build_pipeline
 from ontime_spark.ml.training import Training, store_results, train
@@ -18,7 +20,8 @@ def main(argv: list[str] | None = None) -> Training:
     parser.add_argument("input", nargs="+", help="files or folders with a header")
     parser.add_argument("--model", required=True, help="folder to save the model to")
     add_marts(parser)
-    parser.add_argument("--run", default="default", help="names this training among the results")
+    parser.add_argument("--run", help="names this training among the results; by default a new name")
+    parser.add_argument("--preview", type=int, default=0, help="held-out flights to show, the furthest off first")
     parser.add_argument("--fraction", type=float, default=0.2)
     parser.add_argument("--trees", type=int, default=100)
     parser.add_argument("--depth", type=int, default=10)
@@ -32,7 +35,9 @@ def main(argv: list[str] | None = None) -> Training:
     print(f"Rows: {done.counts}")
     done.metrics.show()
     done.importance.show(truncate=False)
-    done.predictions.select("carrier", "origin", "dest", "arrDelay", "prediction").show(10)
+    if args.preview:
+        error = F.abs(F.col("prediction") - F.col("arrDelay")).alias("minutes_off")
+        done.predictions.select("origin", "dest", error).orderBy(F.desc("minutes_off")).show(args.preview)
     jdbc = jdbc_of(args, os.environ)
     if jdbc is not None:
         database.create_tables(spark, jdbc, "ml_results", "ml_feature_importance")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -127,10 +127,24 @@ def regression_metrics(
     )
 
 
+def feature_names(model: PipelineModel) -> list[str]:
+    """The model's features in the order of its vector."""
+    given: dict[str, str] = {}
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            given.update(zip(stage.getOutputCols(), stage.getInputCols()))
+    assembler = next(stage for stage in model.stages if isinstance(stage, VectorAssembler))
+    return [given.get(name, name) for name in assembler.getInputCols()]
+
+
 def feature_importance(
-    spark: SparkSession, model: PipelineModel, names: Sequence[str] = FEATURES
+    spark: SparkSession, model: PipelineModel, names: Sequence[str] | None = None
 ) -> DataFrame:
-    """``feature_name`` and ``importance``, one row per feature, greatest first."""
+    """``feature_name`` and ``importance``, one row per feature, greatest first.
+
+    The names are those of the fitted assembler's inputs, an indexed text's that of the text.
+    """
+    names = feature_names(model) if names is None else names
     values = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(value)) for name, value in zip(names, values, strict=True)]
     return spark.createDataFrame(rows, "feature_name string, importance double").orderBy(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -118,10 +119,14 @@ def store_results(
     model_path: str | None = None,
     root: str | None = None,
     jdbc: dict[str, str] | None = None,
-    run: str = "default",
+    run: str | None = None,
     batch_id: int = 0,
 ) -> None:
-    """Save the model, and append its metrics and merge its importances into the marts."""
+    """Save the model, and append its metrics and merge its importances into the marts.
+
+    Every training adds its own row of metrics; give ``run`` to repeat one that failed half-way.
+    """
+    run = run or uuid.uuid4().hex[:12]
     if model_path is not None:
         forest.save_model(training.model, model_path)
     if jdbc is not None:

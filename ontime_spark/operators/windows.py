@@ -60,6 +60,26 @@ def carrier_delays(
     )
 
 
+SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def seconds_of(span: str) -> int | None:
+    """The seconds of a span such as ``1 hour 30 minutes``; None for one in other units."""
+    words = span.lower().removeprefix("interval ").split()
+    total = 0
+    for number, unit in zip(words[::2], words[1::2]):
+        unit = unit.removesuffix("s")
+        if not number.isdigit() or unit not in SECONDS:
+            return None
+        total += int(number) * SECONDS[unit]
+    return total if words and len(words) % 2 == 0 else None
+
+
+def is_multiple(window: str, slide: str) -> bool:
+    whole, part = seconds_of(window), seconds_of(slide)
+    return bool(whole and part) and whole % part == 0
+
+
 def airport_delays(
     df: DataFrame,
     time_col: str = "processingTime",
@@ -71,9 +91,10 @@ def airport_delays(
 
     A flight is in window/slide windows. In batch the flights are first summed per slide, so that
     only those sums are copied into the windows and not the flights; a stream can stack no second
-    aggregate in update mode and copies the flights.
+    aggregate in update mode and copies the flights. So does a batch whose window is no multiple of
+    its slide: there a slide's flights may be in different windows.
     """
-    if df.isStreaming:
+    if df.isStreaming or not is_multiple(window, slide):
         return (
             with_watermark(df, time_col, watermark)
             .groupBy(F.window(time_col, window, slide), "origin")

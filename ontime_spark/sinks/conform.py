@@ -59,7 +59,8 @@ def fit(df: DataFrame, table: str) -> DataFrame:
             faults.append((lost, f"value of {name}"))
         if sql_type.startswith("VARCHAR"):
             limit = int(re.findall(r"\d+", sql_type)[0])
-            faults.append((F.length(name) > limit, f"value of {name}"))
+            text = F.col(name) if kinds[name] == kind else F.col(f"{name}.fit")
+            faults.append((F.length(text) > limit, f"value of {name}"))
     fault = F.lit(None).cast("string")
     for wrong, text in reversed(faults):
         fault = F.when(wrong, text).otherwise(fault)

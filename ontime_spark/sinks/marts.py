@@ -49,7 +49,8 @@ def upsert(
     Only the dates in the batch are read and rewritten. The merged dates are first written below
     ``staging`` in full and put in place from there, so a job that dies while doing so leaves a
     complete copy: the repeated batch finds it and finishes from it. Give a streaming query a
-    folder under its checkpoint, where it lives and dies with the batch numbers.
+    folder under its checkpoint, where it lives and dies with the batch numbers. Without a folder
+    there is one copy per table, which the next merge puts in place before it reads the table.
 
     Returns the report of rows the table cannot take, or None for an empty batch.
     """
@@ -58,9 +59,21 @@ def upsert(
     path = create_mart(spark, root, table)
     by = partition_columns(mart)
     schema = stored_schema(mart)
-    staged = f"{staging or f'{root}/_staging/{table}'}/batch={batch_id}"
+    staged = f"{staging}/batch={batch_id}" if staging else f"{root}/_staging/{table}/pending"
     done = f"{staged}/_SUCCESS"
 
+    def put_in_place() -> None:
+        complete = spark.read.schema(schema).parquet(staged)
+        if by:
+            # Already grouped by date, file by file: no second shuffle.
+            _overwrite_partitions(complete, path, by)
+        else:
+            complete.write.mode("overwrite").parquet(path)
+        files.delete(spark, staged)
+
+    if staging is None and files.exists(spark, done):
+        put_in_place()  # what a merge that died had left
+
     with cached(df):
         if df.isEmpty():
             return None
@@ -79,13 +92,7 @@ def upsert(
                 # Few files per date, and several where a date is large.
                 merged = merged.hint("rebalance", *by)
             merged.write.mode("overwrite").parquet(staged)
-        complete = spark.read.schema(schema).parquet(staged)
-        if by:
-            # Already grouped by date, file by file: no second shuffle.
-            _overwrite_partitions(complete, path, by)
-        else:
-            complete.write.mode("overwrite").parquet(path)
-        files.delete(spark, staged)
+        put_in_place()
         return report
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime_spark.schemas import MARTS
@@ -36,7 +37,9 @@ def predictions_or_none(spark: SparkSession, **where) -> DataFrame:
     """The predictions table, or no rows while there is none to read."""
     try:
         return read_mart(spark, "flight_predictions", **where)
-    except Exception:  # the board shows nothing, whatever kept the table from being read
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise  # a table that is there and cannot be read is no empty table
         mart = MARTS["flight_predictions"]
         schema = stored_schema(mart)
         return spark.createDataFrame([], schema).select(*mart.names)

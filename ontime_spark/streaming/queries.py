@@ -33,10 +33,19 @@ OnBatch = Callable[[str, DataFrame, int], None]
 
 
 def run_name(checkpoint: str) -> str:
-    """Names the run of a checkpoint, whose batch numbers start at zero."""
+    """Names the run of a checkpoint's path, where a query has no id of its own."""
     return hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
 
+def run_of(batch: DataFrame, checkpoint: str) -> str:
+    """Names the run a batch belongs to: the query's id, which its checkpoint stores.
+
+    Batch numbers start at zero with a new checkpoint, also at the same path, and so does the id.
+    """
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return run_name(query_id) if query_id else run_name(checkpoint)
+
+
 def _set_aside(
     report: DataFrame | None, folder: str | None, table: str, batch_id: int, run: str
 ) -> None:
@@ -84,9 +93,8 @@ def start_aggregates(
     """
 
     def writer_of(table: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
-        run = run_name(checkpoint)
-
         def write(batch: DataFrame, batch_id: int) -> None:
+            run = run_of(batch, checkpoint)
             with cached(batch):
                 if on_batch is not None:
                     on_batch(table, batch, batch_id)
@@ -119,7 +127,7 @@ def start_scoring(
     model: PipelineModel | None,
     root: str | None,
     checkpoints: str,
-    cap: int | None = 50,
+    cap: int | None = None,
     order: Sequence[Column | str] | None = SCORING_ORDER,
     trigger: dict | None = None,
     jdbc: dict[str, str] | None = None,
@@ -135,9 +143,9 @@ def start_scoring(
         return None
     name, table = SCORING
     checkpoint = f"{checkpoints}/{name}"
-    run = run_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(batch, checkpoint)
         # Rows the model would skip must not use up the cap. Without them the batch can be cut
         # down before it is scored, for the same result.
         rows = scorable(batch, model)

@@ -25,7 +25,7 @@ def test_publish_train_stream_report(spark, folders, capsys):
         [f"{base}/raw", f"{base}/more.csv", "--messages", f"{base}/topic", "--quarantine", f"{base}/bad"]
     )
     assert counts == {"published": total + 1, "skipped": 1}
-    assert f"Published: {total + 1} records | Skipped: 1 malformed rows" in capsys.readouterr().out
+    assert f"{total + 1} messages sent, 1 lines rejected" in capsys.readouterr().out
     assert spark.read.parquet(f"{base}/bad").first()["value"] == "bad,data"
 
     done = train.main(

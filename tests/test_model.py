@@ -59,7 +59,7 @@ def test_stored_results(spark, trained, tmp_path):
     for _ in range(2):
         training.store_results(trained, path, root)
     result = read_mart(spark, "ml_results", root).collect()
-    assert len(result) == 1 and result[0]["total_records"] == trained.counts["cleaned"]
+    assert len(result) == 2 and result[0]["total_records"] == trained.counts["cleaned"]
     assert result[0]["top_feature"] == "depDelay" and result[0]["created_at"] is not None
     assert read_mart(spark, "ml_feature_importance", root).count() == 10
     again = forest.load_model(path).transform(trained.predictions.drop(
@@ -91,3 +91,11 @@ def test_the_same_rows_by_key_on_any_partitioning(spark, sf_dir):
     ]
     ids = [sorted(r[0] for r in d.train.select("eventId").collect()) for d in draws]
     assert ids[0] == ids[1] and len(ids[0]) == draws[0].counts["train"]
+
+
+def test_importance_names_follow_the_model(spark, sf_dir):
+    numbers = forest.NUMBER_FEATURES[::-1][:3]
+    pipeline = forest.build_pipeline(text=("origin",), numbers=numbers, trees=2, depth=2)
+    done = training.train(testdata.flights(spark, sf_dir), pipeline, key="eventId")
+    assert forest.feature_names(done.model) == ["origin", *numbers]
+    assert {r["feature_name"] for r in done.importance.collect()} == {"origin", *numbers}

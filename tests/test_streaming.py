@@ -201,7 +201,7 @@ def test_scoring_any_rows(spark, topic, tmp_path):
     finish(
         [
             queries.start_scoring(
-                stream(spark, topic, 4), catalog.fixed_model(), root, f"{root}/c", order=None, trigger=NOW
+                stream(spark, topic, 4), catalog.fixed_model(), root, f"{root}/c", cap=50, order=None, trigger=NOW
             )
         ]
     )
