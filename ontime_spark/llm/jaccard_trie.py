@@ -11,7 +11,8 @@ that join two groups of already linked sets are put out, which leaves components
 Whole sets travel as little as possible. Histograms of the sets' hashes, a fortieth of their size,
 give an upper bound of each overlap and drop classes from groups where they can have no partner. Then
 each class is matched in its largest group only; what remains are groups that still hold sets of
-different components, and there only pairs of different components are looked at.
+different components, and there only pairs of different components are looked at, again by
+histograms first.
 """
 
 from __future__ import annotations
@@ -214,28 +215,28 @@ def _traverse(trie, rows, percent, label, guest, wanted, join, universe) -> None
 LINK = "u long, v long"
 
 
-def sketch(part: np.ndarray) -> bytes:
-    """How many hashes begin with each value of their first bits, about twelve a value; 16 bits each."""
-    bits = max(0, int(len(part)).bit_length() - 4)
+def sketch(part: np.ndarray, log: int = 4) -> bytes:
+    """How many hashes begin with each value of their first bits, 2**(log - 1) to 2**log a value; 16 bits each."""
+    bits = max(0, int(len(part)).bit_length() - log)
     if bits == 0:
         return np.array([len(part)], np.uint16).tobytes()
     where = (part >> np.uint64(64 - bits)).astype(np.int64)
     return np.minimum(np.bincount(where, minlength=1 << bits), 65535).astype(np.uint16).tobytes()
 
 
-def _partners(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which sets can be similar to another one: the smaller of two counts bounds what each value shares."""
+def _partners(sizes: np.ndarray, labels: np.ndarray, sketches: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets can be similar to one of another label: the smaller of two counts bounds what each value shares."""
     out = np.zeros(len(sizes), bool)
     width = min(len(k) for k in sketches)
     folded = np.stack([k.reshape(width, -1).sum(axis=1) for k in sketches]).astype(np.int32)
     order = np.argsort(sizes, kind="stable")
-    sizes, folded = sizes[order], folded[order]
+    sizes, labels, folded = sizes[order], labels[order], folded[order]
     for i in range(len(order)):
         stop = int(np.searchsorted(sizes, 100 * sizes[i] // percent, "right"))
         if stop <= i + 1:
             continue
         need = -(-percent * (sizes[i] + sizes[i + 1 : stop]) // (100 + percent))
-        fits = np.minimum(folded[i], folded[i + 1 : stop]).sum(axis=1) >= need
+        fits = (np.minimum(folded[i], folded[i + 1 : stop]).sum(axis=1) >= need) & (labels[i + 1 : stop] != labels[i])
         if fits.any():
             out[i] = True
             out[i + 1 : stop] |= fits
@@ -245,12 +246,17 @@ def _partners(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> np
 
 
 def _drop_lonely(percent: int):
-    """A mapper over rows (grp, cid, n, sketch), those of a group together, to (grp, cid) that may have a partner."""
+    """A mapper over rows (grp, cid, label, n, sketch), those of a group together.
+
+    It gives the (grp, cid) that may have a partner of another label.
+    """
 
     def close(grp, rows):
         if len(rows) < 2:
             return []
-        sizes = np.array([r[1] for r in rows], np.int64)
+        labels, sizes = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
+        if (labels == labels[0]).all():
+            return []
         bands: dict[int, list[int]] = {}
         for i in np.argsort(sizes, kind="stable").tolist():
             bands.setdefault(int(sizes[i]).bit_length(), []).append(i)
@@ -259,7 +265,8 @@ def _drop_lonely(percent: int):
             both = own + bands.get(band + 1, [])
             for some in ([own] if len(both) == len(own) else [own, both]):
                 if len(some) > 1:
-                    good = _partners(sizes[some], [np.frombuffer(rows[i][2], np.uint16) for i in some], percent)
+                    held = [np.frombuffer(rows[i][3], np.uint16) for i in some]
+                    good = _partners(sizes[some], labels[some], held, percent)
                     out.update(rows[i][0] for i, g in zip(some, good) if g)
         return [(grp, cid) for cid in out]
 
@@ -267,7 +274,7 @@ def _drop_lonely(percent: int):
         key, rows = None, []
         for batch in batches:
             found = []
-            for grp, *row in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+            for grp, *row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
                 if grp != key:
                     found += close(key, rows)
                     key, rows = grp, []
@@ -321,7 +328,7 @@ def _link_groups(percent: int):
 
 
 def _run_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    dealt = members.join(sets, "cid").select("grp", "block", "cid", "label", "guest", "members")
+    dealt = members.join(sets.select("cid", "members"), "cid").select("grp", "block", "cid", "label", "guest", "members")
     return (
         dealt.repartition("grp", "block")
         .sortWithinPartitions("grp", "block")
@@ -413,11 +420,9 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
         _heads_in(classes, lists).join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
     )
     # A group of one block drops members without a partner; larger ones, mostly near copies, keep all.
-    sketched = groups.filter("blocks = 1").join(classes.select("cid", "n", "sketch"), "cid").select("grp", "cid", "n", "sketch")
-    paired = sketched.repartition("grp").sortWithinPartitions("grp").mapInArrow(_drop_lonely(percent), "grp long, cid long")
-    groups = keep(
-        groups.join(paired.distinct(), ["grp", "cid"]).unionByName(groups.filter("blocks > 1")), "paired"
-    )
+    single = groups.filter("blocks = 1").withColumn("label", F.col("cid"))
+    paired = _with_partners(single, classes.select("cid", "n", "sketch"), percent)
+    groups = keep(groups.join(paired, ["grp", "cid"]).unionByName(groups.filter("blocks > 1")), "paired")
     sets = keep(_sets_of(texts, classes, groups, words), "sets")
 
     home = F.pmod(F.xxhash64("cid", "grp"), F.col("blocks")).cast("int")
@@ -443,19 +448,32 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
     )
     main = main.filter("others > 0").select("grp", "main", F.ceil(F.col("others") / BLOCK).cast("int").alias("visits"))
     placed = placed.join(main, "grp")
-    alone = F.col("blocks") == 1
+    # Most members of a group of one block have all that is like them in their own component by now. Histograms
+    # of two to four hashes a value are nearly exact, and a twelfth of the sets' size.
+    single = placed.filter("blocks = 1")
+    near = single.join(_with_partners(single, sets.select("cid", "n", "sketch"), percent), ["grp", "cid"])
+    whole = near.select("grp", F.lit(0).alias("home"), F.lit(0).alias("visit"), "cid", "label", F.lit(0).alias("guest"))
+    placed = placed.filter("blocks > 1")
     stays = placed.select(
         "grp", "cid", "label", F.lit(0).alias("guest"), home.alias("home"),
-        F.explode(F.when(alone, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("visits") - 1))).alias("visit"),
+        F.explode(F.sequence(F.lit(0), F.col("visits") - 1)).alias("visit"),
     )
-    goes = placed.filter(~alone & (F.col("label") != F.col("main"))).select(
+    goes = placed.filter(F.col("label") != F.col("main")).select(
         "grp", "cid", "label", F.lit(1).alias("guest"), F.explode(every).alias("home"),
         F.pmod(F.xxhash64("cid", F.lit(3)), F.col("visits")).cast("int").alias("visit"),
     )
-    second = stays.unionByName(goes).select("grp", F.xxhash64("home", "visit").alias("block"), "cid", "label", "guest")
+    second = whole.unionByName(stays).unionByName(goes).select("grp", F.xxhash64("home", "visit").alias("block"), "cid", "label", "guest")
+    second = keep(second, "second")
     return links.union(_run_groups(second, sets, percent))
 
 
+def _with_partners(placed: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The (grp, cid) of ``placed`` (grp, cid, label) whose histogram allows a partner of another label in the group."""
+    sketched = placed.select("grp", "cid", "label").join(sketches, "cid")
+    grouped = sketched.select("grp", "cid", "label", "n", "sketch").repartition("grp").sortWithinPartitions("grp")
+    return grouped.mapInArrow(_drop_lonely(percent), "grp long, cid long").distinct()
+
+
 def _bit_pages(places: DataFrame, bits: int) -> np.ndarray:
     """A bit map with the places (0 to 2**bits - 1) set, in pages of 4 KB; its size is fixed."""
     pages = places.toDF("p").select(F.floor(F.col("p") / 32768).alias("page"), (F.col("p") % 32768).alias("bit"))
@@ -482,7 +500,7 @@ def _heads_in(classes: DataFrame, lists: DataFrame, bits: int = 26) -> DataFrame
 
 
 def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int) -> DataFrame:
-    """(cid, members) of the classes in ``groups``, from the texts again.
+    """(cid, members, n, sketch) of the classes in ``groups``, from the texts again; sketch is a fine histogram.
 
     A bit map of fixed size (1 MB) over the hashes of the wanted ids spares most other texts.
     """
@@ -497,18 +515,21 @@ def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int
             p = batch.column(0).to_numpy(zero_copy_only=False)
             page, bit = p // 32768, p % 32768
             hit = np.flatnonzero((shared.value[page, bit // 8] >> (bit % 8).astype(np.uint8)) & 1)
-            digests, sets = [], []
+            digests, sets, sizes, fine = [], [], [], []
             for part in shingle_sets(batch.column(1).take(pa.array(hit)), words):
                 if len(part):
                     digests.append(hashlib.blake2b(part.tobytes(), digest_size=16).digest())
                     sets.append(part.tobytes())
+                    sizes.append(len(part))
+                    fine.append(sketch(part, 2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], names=["digest", "members"]
+                [pa.array(digests, pa.binary()), pa.array(sets, pa.binary()), pa.array(sizes, pa.int64()), pa.array(fine, pa.binary())],
+                names=["digest", "members", "n", "sketch"],
             )
 
     hashed = texts.select(F.pmod(F.xxhash64("id"), F.lit(1 << 23)).alias("p"), "text")
-    found = hashed.mapInArrow(apply, "digest binary, members binary")
-    return found.join(wanted.select("cid", "digest"), "digest").select("cid", "members")
+    found = hashed.mapInArrow(apply, "digest binary, members binary, n long, sketch binary")
+    return found.join(wanted.select("cid", "digest"), "digest").select("cid", "members", "n", "sketch")
 
 
 def near_duplicate_groups(
