@@ -216,21 +216,26 @@ LINK = "u long, v long"
 
 
 def sketch(part: np.ndarray, log: int = 4) -> bytes:
-    """How many hashes begin with each value of their first bits, 2**(log - 1) to 2**log a value; 16 bits each."""
+    """How many hashes begin with each value of their first bits, 2**(log - 1) to 2**log a value; a byte each.
+
+    The hashes are uniform, so that a count of 255 or more does not arise.
+    """
     bits = max(0, int(len(part)).bit_length() - log)
     if bits == 0:
-        return np.array([len(part)], np.uint16).tobytes()
+        return np.array([len(part)], np.uint8).tobytes()
     where = (part >> np.uint64(64 - bits)).astype(np.int64)
-    return np.minimum(np.bincount(where, minlength=1 << bits), 65535).astype(np.uint16).tobytes()
+    return np.minimum(np.bincount(where, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
-def _partners(sizes: np.ndarray, labels: np.ndarray, sketches: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which sets can be similar to one of another label: the smaller of two counts bounds what each value shares."""
-    out = np.zeros(len(sizes), bool)
-    width = min(len(k) for k in sketches)
-    folded = np.stack([k.reshape(width, -1).sum(axis=1) for k in sketches]).astype(np.int32)
-    order = np.argsort(sizes, kind="stable")
-    sizes, labels, folded = sizes[order], labels[order], folded[order]
+def _tie_partners(tied: np.ndarray, some: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sketches: list, percent: int) -> None:
+    """Gives one number in ``tied`` to members of ``some`` that can be similar to each other and have other labels.
+
+    The smaller of two counts bounds what two sets share of each value.
+    """
+    width = min(len(sketches[i]) for i in some)
+    order = some[np.argsort(sizes[some], kind="stable")]
+    folded = np.stack([sketches[i].reshape(width, -1).sum(axis=1) for i in order]).astype(np.int32)
+    sizes, labels = sizes[order], labels[order]
     for i in range(len(order)):
         stop = int(np.searchsorted(sizes, 100 * sizes[i] // percent, "right"))
         if stop <= i + 1:
@@ -238,37 +243,41 @@ def _partners(sizes: np.ndarray, labels: np.ndarray, sketches: list[np.ndarray],
         need = -(-percent * (sizes[i] + sizes[i + 1 : stop]) // (100 + percent))
         fits = (np.minimum(folded[i], folded[i + 1 : stop]).sum(axis=1) >= need) & (labels[i + 1 : stop] != labels[i])
         if fits.any():
-            out[i] = True
-            out[i + 1 : stop] |= fits
-    back = np.zeros(len(order), bool)
-    back[order] = out
-    return back
+            old = np.append(tied[order[i + 1 : stop][fits]], tied[order[i]])
+            tied[np.isin(tied, old)] = old.min()
 
 
-def _drop_lonely(percent: int):
-    """A mapper over rows (grp, cid, label, n, sketch), those of a group together.
+def _near_parts(percent: int):
+    """A mapper over rows (grp, cid, label, n, sketch), those of a group together, to (grp, cid, label, m).
 
-    It gives the (grp, cid) that may have a partner of another label.
+    A group falls into parts between which no two sets of different labels can be similar; parts of one
+    are left out. A part is named by a hash of its members, so that equal parts of several groups are one.
     """
 
-    def close(grp, rows):
+    def close(rows):
         if len(rows) < 2:
             return []
-        labels, sizes = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
+        cids, labels, sizes = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
         if (labels == labels[0]).all():
             return []
+        sketches = [np.frombuffer(r[3], np.uint8) for r in rows]
+        tied = np.arange(len(rows))
         bands: dict[int, list[int]] = {}
         for i in np.argsort(sizes, kind="stable").tolist():
             bands.setdefault(int(sizes[i]).bit_length(), []).append(i)
-        out = set()
         for band, own in bands.items():  # sets of different bands fold to the coarser histogram
             both = own + bands.get(band + 1, [])
             for some in ([own] if len(both) == len(own) else [own, both]):
                 if len(some) > 1:
-                    held = [np.frombuffer(rows[i][3], np.uint16) for i in some]
-                    good = _partners(sizes[some], labels[some], held, percent)
-                    out.update(rows[i][0] for i, g in zip(some, good) if g)
-        return [(grp, cid) for cid in out]
+                    _tie_partners(tied, np.array(some), sizes, labels, sketches, percent)
+        out = []
+        for first in np.unique(tied):
+            part = np.flatnonzero(tied == first)
+            if len(part) > 1:
+                name = hashlib.blake2b(np.sort(cids[part]).tobytes(), digest_size=8).digest()
+                grp = int.from_bytes(name, "little", signed=True)
+                out += [(grp, int(cids[i]), int(labels[i]), len(part)) for i in part]
+        return out
 
     def apply(batches):
         key, rows = None, []
@@ -276,16 +285,15 @@ def _drop_lonely(percent: int):
             found = []
             for grp, *row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
                 if grp != key:
-                    found += close(key, rows)
+                    found += close(rows)
                     key, rows = grp, []
                 rows.append(row)
-            yield _pairs(found)
-        yield _pairs(close(key, rows))
+            yield _rows(found)
+        yield _rows(close(rows))
 
-    def _pairs(found):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["grp", "cid"]
-        )
+    def _rows(found):
+        names = ["grp", "cid", "label", "m"]
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(4)], names=names)
 
     return apply
 
@@ -419,10 +427,11 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
     groups = keep(
         _heads_in(classes, lists).join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
     )
-    # A group of one block drops members without a partner; larger ones, mostly near copies, keep all.
+    # A group of one block falls into parts of possible partners; larger ones, mostly near copies, keep all.
     single = groups.filter("blocks = 1").withColumn("label", F.col("cid"))
     paired = _with_partners(single, classes.select("cid", "n", "sketch"), percent)
-    groups = keep(groups.join(paired, ["grp", "cid"]).unionByName(groups.filter("blocks > 1")), "paired")
+    paired = paired.select("grp", "cid", "m", F.lit(1).alias("blocks"))
+    groups = keep(paired.unionByName(groups.filter("blocks > 1")), "paired")
     sets = keep(_sets_of(texts, classes, groups, words), "sets")
 
     home = F.pmod(F.xxhash64("cid", "grp"), F.col("blocks")).cast("int")
@@ -449,9 +458,8 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
     main = main.filter("others > 0").select("grp", "main", F.ceil(F.col("others") / BLOCK).cast("int").alias("visits"))
     placed = placed.join(main, "grp")
     # Most members of a group of one block have all that is like them in their own component by now. Histograms
-    # of two to four hashes a value are nearly exact, and a twelfth of the sets' size.
-    single = placed.filter("blocks = 1")
-    near = single.join(_with_partners(single, sets.select("cid", "n", "sketch"), percent), ["grp", "cid"])
+    # of one or two hashes a value are nearly exact, and a twelfth of the sets' size.
+    near = _with_partners(placed.filter("blocks = 1"), sets.select("cid", "n", "sketch"), percent)
     whole = near.select("grp", F.lit(0).alias("home"), F.lit(0).alias("visit"), "cid", "label", F.lit(0).alias("guest"))
     placed = placed.filter("blocks > 1")
     stays = placed.select(
@@ -468,10 +476,10 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
 
 
 def _with_partners(placed: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The (grp, cid) of ``placed`` (grp, cid, label) whose histogram allows a partner of another label in the group."""
+    """The parts (grp, cid, label, m) of the groups in ``placed`` (grp, cid, label) that histograms leave together."""
     sketched = placed.select("grp", "cid", "label").join(sketches, "cid")
     grouped = sketched.select("grp", "cid", "label", "n", "sketch").repartition("grp").sortWithinPartitions("grp")
-    return grouped.mapInArrow(_drop_lonely(percent), "grp long, cid long").distinct()
+    return grouped.mapInArrow(_near_parts(percent), "grp long, cid long, label long, m long").distinct()
 
 
 def _bit_pages(places: DataFrame, bits: int) -> np.ndarray:
@@ -521,7 +529,7 @@ def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int
                     digests.append(hashlib.blake2b(part.tobytes(), digest_size=16).digest())
                     sets.append(part.tobytes())
                     sizes.append(len(part))
-                    fine.append(sketch(part, 2))
+                    fine.append(sketch(part, 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(digests, pa.binary()), pa.array(sets, pa.binary()), pa.array(sizes, pa.int64()), pa.array(fine, pa.binary())],
                 names=["digest", "members", "n", "sketch"],
