@@ -6,13 +6,26 @@ samples, the forest) are missing here.
 
 from __future__ import annotations
 
-from ontime_spark.schemas import (
-    CAUSE_DELAYS,
-    EVENT,
-    MARTS,
-    PUBLISHED_DELAYS,
-    RECORD_COLUMNS,
+# The columns of messages and records, and the mart column of each cause.
+MESSAGE = (
+    "month", "dayOfWeek", "carrier", "flightNumber", "origin", "originCity", "originState", "dest", "destCity",
+    "destState", "depDelay", "arrDelay", "cancelled", "distance", "carrierDelay", "weatherDelay", "nasDelay",
+    "securityDelay", "lateAircraftDelay",
 )
+RECORD = (
+    "month", "dayOfWeek", "flightDate", "carrier", "flightNumber", "origin", "originCity", "originState", "dest",
+    "destCity", "destState", "crsDepTime", "depTime", "depDelay", "depDel15", "crsArrTime", "arrTime", "arrDelay",
+    "arrDel15", "cancelled", "cancellationCode", "distance", "carrierDelay", "weatherDelay", "nasDelay",
+    "securityDelay", "lateAircraftDelay",
+)
+CAUSES = {
+    "carrierDelay": "avg_carrier_delay",
+    "weatherDelay": "avg_weather_delay",
+    "nasDelay": "avg_nas_delay",
+    "securityDelay": "avg_security_delay",
+    "lateAircraftDelay": "avg_late_aircraft_delay",
+}
+SENT_AS_ZERO = ("depDelay", "arrDelay", *CAUSES)
 
 FLIGHTS = """
 base as (
@@ -59,7 +72,7 @@ def _replaced(delays: tuple[str, ...]) -> str:
 
 
 PUBLISHED = f"""{FLIGHTS},
-published as (select * replace ({_replaced(PUBLISHED_DELAYS)}) from flights)"""
+published as (select * replace ({_replaced(SENT_AS_ZERO)}) from flights)"""
 
 
 def rounded(x: str, places: int = 2) -> str:
@@ -102,18 +115,13 @@ def airport_windows(source: str) -> str:
 
 
 def cause_windows(source: str) -> str:
-    means = ", ".join(
-        f"{mean(chr(34) + field + chr(34))} as {name}"
-        for field, name in zip(
-            CAUSE_DELAYS, [c for c in MARTS["delay_cause_agg"].names if c.startswith("avg")], strict=True
-        )
-    )
+    means = ", ".join(f"{mean(chr(34) + field + chr(34))} as {name}" for field, name in CAUSES.items())
     return f"select {TUMBLING}, {means} from {source} group by all"
 
 
 CATEGORY = """case when "arrDelay" is null or "arrDelay" <= 0 then 'OnTime'
   when "arrDelay" < 30 then 'Minor' when "arrDelay" <= 120 then 'Major' else 'Severe' end"""
-CAUSE_TOTAL = " + ".join(f'coalesce("{c}", 0.0)' for c in CAUSE_DELAYS)
+CAUSE_TOTAL = " + ".join(f'coalesce("{c}", 0.0)' for c in CAUSES)
 
 
 def severity(x: str) -> str:
@@ -257,11 +265,11 @@ FIELD_TEXTS = """texts as (
   from (select *, cast(cast(value as decimal(18,2)) as varchar) as number from events)),
 trimmed as (select event_id, trim(padded, ' ' || chr(9)) as text from texts)"""
 
-EVENT_COLUMNS = _columns(*(f.name for f in EVENT.fields if f.name != "flightDate"))
+EVENT_COLUMNS = _columns(*MESSAGE)
 EVENT_FIELDS = f"""cast("flightDate" as varchar) as "flightDate", {EVENT_COLUMNS}"""
 
 ORACLE: dict[str, str] = {
-    "parse_raw": f'with {FLIGHTS} select {_columns(*RECORD_COLUMNS, "eventId")} from flights',
+    "parse_raw": f'with {FLIGHTS} select {_columns(*RECORD, "eventId")} from flights',
     "parse_strict_int": f"""with {FLIGHTS}
 select "eventId", "depTime", "arrTime", cast(null as int) as "depDel15",
   cast(null as int) as "arrDel15", false as "isDelayed" from flights""",
@@ -285,7 +293,7 @@ select event_id, case when m <= 12 and d <= 31 then
     least(make_date(2024, least(m, 12), 1) + cast(d - 1 as int),
       last_day(make_date(2024, least(m, 12), 1))) end as flight_date
 from numbers""",
-    "csv_by_position": f"with {FLIGHTS} select {_columns(*RECORD_COLUMNS)} from flights",
+    "csv_by_position": f"with {FLIGHTS} select {_columns(*RECORD)} from flights",
     "csv_by_name": f'with {CLEAN} select * exclude ("eventId") from clean',
     "delay_category": f'with {FLIGHTS} select "eventId", {CATEGORY} as "delayCategory" from flights',
     "is_delayed": f"""with {FLIGHTS}
