@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ontime_spark.sinks import files
 
 CHUNK_BYTES = 1 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,12 +42,21 @@ def _remove(spark: SparkSession, path: str) -> None:
 def keep(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table written to the shared folder and read again, which cuts its lineage.
 
-    The table belongs to this program and is removed when it ends.
+    The table belongs to this program and is removed when it ends. What writing it shuffled is removed
+    once it is written, so that the disk holds one step's shuffles and not those of all steps so far.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
