@@ -130,7 +130,7 @@ def store_results(
     if model_path is not None:
         forest.save_model(training.model, model_path)
     if jdbc is not None:
-        database.append(result_row(training), jdbc, "ml_results")
+        database.append(result_row(training), jdbc, "ml_results", batch_id, run)
         database.upsert(training.importance, jdbc, "ml_feature_importance", batch_id, run, unique=True)
     if root is not None:
         marts.append_batch(result_row(training), root, "ml_results", batch_id, run)

@@ -6,6 +6,8 @@ drops it. Repeating a batch finds or makes the same staging table and ends the s
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime_spark.schemas import MARTS
@@ -37,6 +39,31 @@ def upsert_statements(table: str, staging: str) -> list[str]:
     ]
 
 
+BATCH_LOG = "written_batches"
+
+
+def batch_log_statement() -> str:
+    """DDL of the table that knows which batches append-only tables hold already."""
+    return (
+        f"CREATE TABLE IF NOT EXISTS {BATCH_LOG} (table_name VARCHAR(100), run VARCHAR(100), "
+        "batch_id BIGINT, PRIMARY KEY (table_name, run, batch_id))"
+    )
+
+
+def append_statements(
+    table: str, staging: str, columns: list[str], run: str, batch_id: int
+) -> list[str]:
+    """Add ``staging`` to ``table`` unless the log has the batch, log it, and drop ``staging``."""
+    names = ", ".join(columns)
+    batch = f"'{table}', '{run}', {int(batch_id)}"
+    logged = f"SELECT 1 FROM {BATCH_LOG} WHERE (table_name, run, batch_id) = ({batch})"
+    return [
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} WHERE NOT EXISTS ({logged})",
+        f"INSERT INTO {BATCH_LOG} VALUES ({batch}) ON CONFLICT DO NOTHING",
+        f"DROP TABLE IF EXISTS {staging}",
+    ]
+
+
 def run_statements(spark: SparkSession, jdbc: dict[str, str], statements: list[str]) -> None:
     """Statements in one transaction, from the driver."""
     jvm = spark.sparkContext._jvm
@@ -82,8 +109,15 @@ def upsert(
         return report
 
 
-def append(df: DataFrame, jdbc: dict[str, str], table: str) -> DataFrame | None:
-    """Add a batch to an append-only table. The database numbers the rows, so a repeat adds again."""
+def append(
+    df: DataFrame, jdbc: dict[str, str], table: str, batch_id: int = 0, run: str = "default"
+) -> DataFrame | None:
+    """Add a batch to an append-only table, once: a repeat of a logged batch adds nothing.
+
+    The rows go to a staging table; one transaction adds them and logs the batch.
+    """
+    if not re.fullmatch(r"\w+", run):
+        raise ValueError(f"a run is named by letters, digits and underscores, not {run!r}")
     with cached(df):
         if df.isEmpty():
             return None
@@ -91,5 +125,8 @@ def append(df: DataFrame, jdbc: dict[str, str], table: str) -> DataFrame | None:
         stamp = MARTS[table].stamp
         if stamp and stamp not in df.columns:
             good = good.drop(stamp)
-        good.write.format("jdbc").options(dbtable=table, **jdbc).mode("append").save()
+        staging = staging_name(table, run, batch_id)
+        good.write.format("jdbc").options(dbtable=staging, **jdbc).mode("overwrite").save()
+        statements = append_statements(table, staging, good.columns, run, batch_id)
+        run_statements(df.sparkSession, jdbc, [batch_log_statement(), *statements])
         return report

@@ -156,7 +156,7 @@ def start_scoring(
             if on_batch is not None:
                 on_batch(table, scored, batch_id)
             if jdbc is not None:
-                report = database.append(scored, jdbc, table)
+                report = database.append(scored, jdbc, table, batch_id, run)
             else:
                 report = marts.append_batch(scored, root, table, batch_id, run)
             _set_aside(report, quarantine or root, table, batch_id, run)

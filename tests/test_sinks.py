@@ -195,6 +195,17 @@ def test_upsert_statements_merge(con):
     assert found == [("a", Decimal("0.100000")), ("b", Decimal("0.500000")), ("c", Decimal("0.300000"))]
 
 
+def test_append_statements_add_a_batch_once(con):
+    table = "flight_predictions"
+    con.execute(database.batch_log_statement())
+    for run, batch_id in (("x", 0), ("x", 0), ("x", 1), ("y", 0)):
+        con.execute("create table stage as select 'AA' as carrier, 1.5 as predicted_delay")
+        columns = ["carrier", "predicted_delay"]
+        for statement in database.append_statements(table, "stage", columns, run, batch_id):
+            con.execute(statement)
+    assert con.sql(f"select count(*) from {table}").fetchall() == [(3,)]
+
+
 def test_table_of_keys_alone_keeps_its_rows(monkeypatch):
     from ontime_spark.schemas import Mart
 
