@@ -19,7 +19,7 @@ def trained(spark, sf_dir):
     return training.train(flights, pipeline, fraction=0.9, seed=7)
 
 
-def test_published_settings():
+def test_published_settings(spark):
     stage = forest.build_pipeline().getStages()[-1]
     assert (stage.getNumTrees(), stage.getMaxDepth(), stage.getMaxBins(), stage.getSeed()) == (100, 10, 400, 42)
 
