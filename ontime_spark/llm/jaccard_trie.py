@@ -510,7 +510,8 @@ def _heads_in(classes: DataFrame, lists: DataFrame, bits: int = 26) -> DataFrame
 def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int) -> DataFrame:
     """(cid, members, n, sketch) of the classes in ``groups``, from the texts again; sketch is a fine histogram.
 
-    A bit map of fixed size (1 MB) over the hashes of the wanted ids spares most other texts.
+    A bit map of fixed size (1 MB) over the hashes of the wanted ids spares most other texts. Rows of equal
+    text that it lets through are one row: each task sends a set once, and the rest meet by digest.
     """
     spark = texts.sparkSession
     wanted = keep(classes.join(groups.select("cid").distinct(), "cid").select("cid", "digest", "rep"), "wanted")
@@ -519,14 +520,17 @@ def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int
     shared = spark.sparkContext.broadcast(bits)
 
     def apply(batches):
+        sent: set[bytes] = set()  # 16 bytes for a text of the task
         for batch in batches:
             p = batch.column(0).to_numpy(zero_copy_only=False)
             page, bit = p // 32768, p % 32768
             hit = np.flatnonzero((shared.value[page, bit // 8] >> (bit % 8).astype(np.uint8)) & 1)
             digests, sets, sizes, fine = [], [], [], []
             for part in shingle_sets(batch.column(1).take(pa.array(hit)), words):
-                if len(part):
-                    digests.append(hashlib.blake2b(part.tobytes(), digest_size=16).digest())
+                digest = hashlib.blake2b(part.tobytes(), digest_size=16).digest()
+                if len(part) and digest not in sent:
+                    sent.add(digest)
+                    digests.append(digest)
                     sets.append(part.tobytes())
                     sizes.append(len(part))
                     fine.append(sketch(part, 1))
@@ -537,6 +541,8 @@ def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int
 
     hashed = texts.select(F.pmod(F.xxhash64("id"), F.lit(1 << 23)).alias("p"), "text")
     found = hashed.mapInArrow(apply, "digest binary, members binary, n long, sketch binary")
+    # Dealt by digest first, so that the aggregate and the join share one shuffle and one sort.
+    found = found.repartition("digest").groupBy("digest").agg(*[F.first(c).alias(c) for c in ("members", "n", "sketch")])
     return found.join(wanted.select("cid", "digest"), "digest").select("cid", "members", "n", "sketch")
 
 

@@ -1,6 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, operator by operator."""
 
+import hashlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +92,22 @@ def test_chains_and_large_groups(spark, monkeypatch):
         assert {r["doc_id"]: r["component_id"] for r in got} == expected
 
 
+def test_copies_are_read_back_once(spark):
+    """Rows that repeat a representative's id and text give one set, and the components stay right."""
+    texts = ["a b c d e f g h i j k l", "a b c d e f g h i j k m", "quite another text of some words here"]
+    rows = [(1, texts[0])] * 30 + [(2, texts[1])] * 20 + [(3, texts[2])] * 10 + [(9, texts[0])]
+    frame = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    digests = [
+        hashlib.blake2b(part.tobytes(), digest_size=16).digest() for part in jaccard_trie.shingle_sets(pa.array(texts), 2)
+    ]
+    classes = spark.createDataFrame([(10 * i, d, i) for i, d in enumerate(digests, 1)], "cid long, digest binary, rep long")
+    groups = spark.createDataFrame([(7, 10), (7, 20), (8, 20)], "grp long, cid long")
+    got = jaccard_trie._sets_of(frame, classes, groups, 2).select("cid", "n").collect()
+    assert sorted(map(tuple, got)) == [(10, 11), (20, 11)]
+    found = jaccard_trie.near_duplicate_groups(frame, id_col="id", words=2, percent=80).collect()
+    assert sorted((r["id"], r["component_id"]) for r in found) == [(1, 1)] * 30 + [(2, 1)] * 20 + [(3, 3)] * 10 + [(9, 1)]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(5, 3), (3, 9), (1, 2), (2, 1), (7, 7)], "u long, v long")
     assert {tuple(r) for r in components(links).collect()} == {(3, 3), (5, 3), (9, 3), (1, 1), (2, 1)}
