@@ -32,7 +32,7 @@ BREAKS = frozenset(
 )
 HOLDERS = BREAKS | frozenset("button select textarea noscript template iframe svg object canvas audio video label math".split())
 ASIDE = frozenset(
-    "nav aside footer form button select option textarea script style noscript template iframe svg object canvas"
+    "nav aside footer button select option textarea script style noscript template iframe svg object canvas"
     " audio video head title dialog menu label fieldset math".split()
 )
 ASIDE_NAMES = frozenset(
@@ -45,21 +45,68 @@ ASIDE_NAMES = frozenset(
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 MAIN = frozenset(("article", "main"))
 
+NAMED_SHARE = 0.9  # of a page's text that a named element holds which is taken for its article
+NAMED_LENGTH = 200
 LEAST_SHARE = 0.3  # of a host's pages that a class must occur in
 LEAST_PAGES = 3
 
 _TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|(!--|!|\?|/))")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_NAME = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"[-_\d]+$")
 
 
 class Element:
-    """An open element: its name, its path, and whether it is set aside or in the article."""
+    """An open element: its name and path, whether it is set aside for certain, in the article, and in which.
+
+    named has the numbers of the elements around it, itself included, that their names may set aside.
+    """
+
+    __slots__ = ("name", "place", "aside", "named", "main", "holders")
+
+    def __init__(self, name: str, place: str, aside: bool, named: tuple[int, ...], main: bool, holders: tuple[int, int]):
+        self.name, self.place, self.aside, self.named, self.main, self.holders = name, place, aside, named, main, holders
+
+    def outside(self) -> tuple:
+        return self.aside, self.named
 
-    __slots__ = ("name", "place", "aside", "main")
 
-    def __init__(self, name: str, place: str, aside: bool, main: bool):
-        self.name, self.place, self.aside, self.main = name, place, aside, main
+def _is_named(name: str, value: str) -> bool:
+    """Whether a whole word of a class or id, but for numbers at its end, is a usual name of what is no article."""
+    return name not in ("html", "body") and any(_NUMBER.sub("", w) in ASIDE_NAMES for w in value.split())
+
+
+def _freed(raw: list[tuple], holders: tuple[list, list]) -> set[int]:
+    """The numbers of named elements that their names don't set aside, for what they hold.
+
+    These hold the page's chief article or main element, the one with most text beside what is named in it
+    (articles in articles don't count, nor one shorter than the main element's text); or, in a page without
+    them, nearly all of the page's text.
+    """
+    freed: set[int] = set()
+    longest = -1
+    for kind in (1, 0):
+        sizes = [0] * len(holders[kind])
+        for _, words, aside, named, _, inside in raw:
+            if not aside and inside[kind] >= 0 and named == holders[kind][inside[kind]]:
+                sizes[inside[kind]] += len(words)
+        if sizes and max(sizes) >= longest:
+            longest = max(sizes)
+            freed.update(holders[kind][sizes.index(longest)])
+    if longest < 0:
+        by_named: dict[tuple[int, ...], int] = {}
+        for _, words, aside, named, _, _ in raw:
+            if not aside:
+                by_named[named] = by_named.get(named, 0) + len(words)
+        if by_named:
+            outer: dict[int, int] = {}
+            for named, length in by_named.items():
+                if named:
+                    outer[named[0]] = outer.get(named[0], 0) + length
+            top = max(outer, key=outer.get, default=None)
+            if top is not None and outer[top] >= max(NAMED_LENGTH, NAMED_SHARE * sum(by_named.values())):
+                inside = {k: v for k, v in by_named.items() if k and k[0] == top}
+                freed.update(max(inside, key=inside.get))
+    return freed
 
 
 def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]]:
@@ -68,10 +115,13 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
     Blocks end where an element that breaks lines begins or ends. Comments, declarations and the
     contents of scripts and styles are no text. An end tag closes the last element of its name and
     what is open inside it; without one it means nothing. places counts each place's elements.
+    A name sets an element aside unless it holds the page's article.
     """
-    out: list[tuple[str, str, bool, bool]] = []
+    raw: list[tuple] = []
     places: dict[str, int] = {}
-    stack = [Element("", "", False, False)]
+    holders: tuple[list, list] = ([], [])  # named elements around each outer article, and each outer main element
+    names = 0
+    stack = [Element("", "", False, (), False, (-1, -1))]
     text: list[str] = []
     at, size = 0, len(page)
 
@@ -81,11 +131,13 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
             text.clear()
             if words:
                 top = stack[-1]
-                out.append((top.place, words, top.aside, top.main))
+                raw.append((top.place, words, top.aside, top.named, top.main, top.holders))
 
     def open_element(name: str, attributes: str) -> None:
+        nonlocal names
         top = stack[-1]
         aside, main, label = top.aside or name in ASIDE, top.main or name in MAIN, name
+        named, article, middle = name == "form", name == "article", name == "main"
         if name == "header" and not top.main:
             aside = True
         for key, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
@@ -93,15 +145,24 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
             key = key.lower()
             if key == "role":
                 aside = aside or value in ASIDE_ROLES
-                main = main or value in ("main", "article")
+                article, middle = article or value == "article", middle or value == "main"
+                main = main or article or middle
             else:
                 label += "." + re.sub(r"\d+", "#", value)
-                aside = aside or (name not in ("html", "body") and not ASIDE_NAMES.isdisjoint(_NAME.findall(value)))
+                named = named or _is_named(name, value)
         place = f"{top.place}/{label}"
         if len(place) > 400:  # deep pages: the path's digest stands for its beginning
             place = hashlib.blake2b(place.encode(), digest_size=8).hexdigest()
         places[place] = places.get(place, 0) + 1
-        stack.append(Element(name, place, aside, main))
+        around, inside = top.named, list(top.holders)
+        if named:
+            names += 1
+            around += (names,)
+        for kind, here in enumerate((article, middle)):
+            if here and inside[kind] < 0:
+                inside[kind] = len(holders[kind])
+                holders[kind].append(around)
+        stack.append(Element(name, place, aside, around, main, tuple(inside)))
 
     no_comment_end = False
     while at < size:
@@ -128,7 +189,7 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
                 flush()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name == name:
-                    if name not in BREAKS and (stack[i].aside != stack[i - 1].aside):
+                    if name not in BREAKS and stack[i].outside() != stack[i - 1].outside():
                         flush()
                     del stack[i:]
                     break
@@ -142,9 +203,9 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
         if name in VOID:
             continue
         if name in HOLDERS or _ATTRIBUTE.search(attributes):
-            was = stack[-1].aside
+            was = stack[-1].outside()
             open_element(name, attributes)
-            if stack[-1].aside != was and name not in BREAKS:
+            if stack[-1].outside() != was and name not in BREAKS:
                 top = stack.pop()
                 flush()
                 stack.append(top)
@@ -155,7 +216,8 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
             if name in ("title", "textarea"):
                 text.append(inside)
     flush()
-    return out, places
+    freed = _freed(raw, holders)
+    return [(p, w, aside or not freed.issuperset(named), main) for p, w, aside, named, main, _ in raw], places
 
 
 def _number(*parts: str) -> int:

@@ -175,6 +175,24 @@ def test_pages(spark):
     assert html_template.main_text(page, frozenset(), None) == "T\nOne two\nFour bold"
 
 
+def test_names_alone_set_no_article_aside():
+    story = "<p>" + "A story of many words. " * 20 + "</p><p>Its end.</p>"
+    want = ("A story of many words. " * 20).strip() + "\nIts end."
+    text = lambda page: html_template.main_text(page, frozenset(), None)
+    for page in (
+        f"<body><div class='has-sidebar'><article>{story}</article></div></body>",
+        f"<div id='search-result-page'>{story}</div>",
+        f"<article class='post comments-open'>{story}</article>",
+        f"<article class='search'>{story}</article>",
+        f"<div class='search'><main>{story}<div class='comments'><article>hi</article></div></main></div>",
+        f"<form id=f>{story}</form>",
+        f"<div class='ad-1'>buy</div><div class='popup'><div>{story}</div><div class='share'>tell all</div></div>",
+        f"<div class='sidebar'><article>teaser</article></div><article>{story}<form>q</form></article>",
+    ):
+        assert text(page) == want, page
+    assert text("<div class='menu'>Home</div>") == ""
+
+
 def test_pipeline_stages_keep_columns(spark, docs, empty):
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for name, stage in corpus_pipeline.STAGES[:-1]:
