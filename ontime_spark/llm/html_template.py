@@ -3,10 +3,11 @@
 A page is read as tokens: places (an element's path of names and classes) and texts at places. A
 token's occurrence vector says how often each page of its host has it; vectors are compared through
 a sum of hashes over pages, so no vector is ever held. Tokens of one host with equal vectors are an
-equivalence class. Classes that occur once a page in enough pages are valid; nested by their paths,
-from the page's root down, they make the host's template. What the template doesn't hold is in its
-slots. The slot with most text over all pages of the host is the main one, unless a page says
-itself where its article is.
+equivalence class. From the classes of most pages down, a class is dealt to the slots of those before it,
+and is valid in a slot where enough of its tokens are, on enough pages. Texts of valid classes are the
+host's template, unless they are all that the slot's pages have: then the pages are copies. What the
+template doesn't hold is in its slots. The slot with most text over all pages of the host is the main one; an
+article or main element of a page stands for it unless it holds much less.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ NAMED_SHARE = 0.9  # of a page's text that a named element holds which is taken
 NAMED_LENGTH = 200
 LEAST_SHARE = 0.3  # of a host's pages that a class must occur in
 LEAST_PAGES = 3
+LEAST_SIZE = 3  # tokens of a class in one slot
+LEAST_DATA = 0.2  # of what a slot's pages have in it that a class in it must leave
 
 _TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|(!--|!|\?|/))")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -224,52 +227,102 @@ def _number(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def page_tokens(page: str) -> list[tuple[int, int, int, int, int]]:
-    """(token, times, parent token, kind, length) of a page: kind 0 is a place, 1 a text at a place.
+FIELDS = ("token", "times", "parent", "kind", "length", "total")
 
-    A place's length is that of the text directly in it which no name sets aside.
+
+def page_tokens(page: str) -> list[tuple[int, int, int, int, int, int]]:
+    """(token, times, parent token, kind, length, total) of a page: kind 0 is a place, 1 a text at a place.
+
+    A length counts text that is not set aside: a place's what is directly in it, a text's all its times; total
+    is the page's.
     """
     found, places = blocks(page)
     lengths: dict[str, int] = {}
-    texts: dict[tuple[str, str], int] = {}
+    texts: dict[tuple[str, str], list[int]] = {}
     for place, words, aside, _ in found:
-        texts[place, words] = texts.get((place, words), 0) + 1
-        if not aside:
-            lengths[place] = lengths.get(place, 0) + len(words)
+        firm = 0 if aside else len(words)
+        seen = texts.setdefault((place, words), [0, 0])
+        seen[0] += 1
+        seen[1] += firm
+        lengths[place] = lengths.get(place, 0) + firm
+    total = sum(lengths.values())
+    number = {p: _number(p) for p in places} | {"": 0}
     out = [
-        (_number(p), n, _number(p.rpartition("/")[0]) if p.count("/") > 1 else 0, 0, lengths.get(p, 0))
+        (number[p], n, number.get(p.rpartition("/")[0], 0), 0, lengths.get(p, 0), total)
         for p, n in places.items()
     ]
-    out += [(_number(p, w), n, _number(p), 1, len(w)) for (p, w), n in texts.items()]
+    out += [(_number(p, w), n, number[p], 1, length, total) for (p, w), (n, length) in texts.items()]
     return out
 
 
+class Template:
+    """What a host's frequent tokens deduce: its template's texts and main slots.
+
+    tokens are rows of the fields of FIELDS, summed over pages (parent and kind alike on all), with pages
+    and vector.
+    """
+
+    def __init__(self, tokens: list[dict]):
+        self.at = {t["token"]: t for t in tokens}
+        self.texts: list[int] = []
+        self.framed: dict[int, float] = {}  # valid tokens: their pages' template text in the classes around them
+        classes: dict[tuple, list[dict]] = {}
+        for t in tokens:
+            classes.setdefault((t["pages"], t["vector"]), []).append(t)
+        for key in sorted(classes, key=lambda c: (-c[0], classes[c][0]["times"], c[1])):
+            self._nest(classes[key])
+
+    def slot(self, token: dict) -> int:
+        """The valid place around a token: one of an earlier class, as its own is not valid yet; 0 at the root."""
+        p = token["parent"]
+        while p in self.at and p not in self.framed:
+            p = self.at[p]["parent"]
+        return p if p in self.framed else 0
+
+    def _nest(self, members: list[dict]) -> None:
+        parts: dict[int, list[dict]] = {}
+        for t in members:
+            parts.setdefault(self.slot(t), []).append(t)
+        valid = [(around, part) for around, part in parts.items() if len(part) >= LEAST_SIZE]
+        if not valid:
+            return
+        pages = members[0]["pages"]
+        before = max(self.framed.get(around, 0.0) for around, _ in valid)
+        own = sum(t["length"] for t in members if t["kind"] == 1) / pages
+        data = members[0]["total"] / pages - before
+        copies = own > 0 and data - own < LEAST_DATA * data
+        for around, part in valid:
+            if not copies:
+                self.texts += [t["token"] for t in part if t["kind"] == 1]
+            for t in part:
+                self.framed[t["token"]] = before + (0 if copies else own)
+
+    def slots(self) -> list[int]:
+        most = max((t for t in self.at.values() if t["kind"] != 1 and t["length"]), key=lambda t: (t["length"], t["token"]), default=None)
+        return [most["token"]] if most else []
+
+
 def host_of(url: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
 def templates(pages: DataFrame, html_col: str = "html", url_col: str = "url", id_col: str = "page_id") -> DataFrame:
-    """(host, places, texts, main): each host's template and main slot, from all its pages.
+    """(host, texts, slots): each host's template and main slots, from all its pages.
 
     Token rows are summed before the shuffle, so a host with a third of all pages costs one row per
-    token and task. A host's template holds tokens of at least 30 % of its pages only, which bounds it.
+    token and task. Only tokens of at least 30 % of a host's pages meet, which bounds a host's row by a few
+    pages' tokens.
     """
-    token = T.ArrayType(
-        T.StructType([
-            T.StructField("token", T.LongType()), T.StructField("times", T.IntegerType()),
-            T.StructField("parent", T.LongType()), T.StructField("kind", T.IntegerType()),
-            T.StructField("length", T.LongType()),
-        ])
-    )
-    names = [f.name for f in token.elementType.fields]
+    token = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in FIELDS]))
 
     def make():
         def one(column):
-            return [[[dict(zip(names, t)) for t in page_tokens(v.as_py() or "")] for v in column]]
+            return [[[dict(zip(FIELDS, t)) for t in page_tokens(v.as_py() or "")] for v in column]]
 
         return one
 
-    source = pages.select(host_of(url_col).alias("host"), F.col(f"`{id_col}`").alias("page"), F.col(f"`{html_col}`").alias("html"))
+    html = F.col(f"`{html_col}`")
+    source = pages.select(host_of(url_col).alias("host"), F.xxhash64(F.col(f"`{id_col}`"), html).alias("page"), html.alias("html"))
     read = with_arrow(source, ["html"], [T.StructField("tokens", token)], make, ["host", "page"])
     rows = read.select("host", "page", F.explode("tokens").alias("t")).select("host", "page", "t.*")
     vectors = rows.groupBy("host", "token").agg(
@@ -279,47 +332,39 @@ def templates(pages: DataFrame, html_col: str = "html", url_col: str = "url", id
         F.min("parent").alias("parent"),
         F.min("kind").alias("kind"),
         F.sum("length").alias("length"),
+        F.sum("total").alias("total"),
     )
-    vectors = keep(vectors.filter("pages > 1 or kind = 0"), "vectors")
     sizes = pages.select(host_of(url_col).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
     enough = F.greatest(F.col("all_pages") * LEAST_SHARE, F.lit(LEAST_PAGES))
-    often = vectors.join(sizes, "host").filter(F.col("pages") >= enough)
-    classes = (
-        often.filter("times = pages")
-        .groupBy("host", "pages", "vector")
-        .agg(F.collect_set(F.struct("token", "parent", "kind")).alias("members"))
-        .withColumn("class", F.xxhash64("pages", "vector"))
-    )
-    # Nested from the root down: a class is in the template with those members whose parents are, or repeat in it.
-    member = classes.select("host", "class", F.explode("members").alias("m")).select("host", "class", "m.*")
-    whole = member.groupBy("host").agg(
-        F.collect_set(F.when(F.col("kind") == 0, F.col("token"))).alias("places"),
-        F.collect_set(F.when(F.col("kind") == 1, F.struct("token", "parent"))).alias("texts"),
-    ).select("host", "places", F.expr("transform(filter(texts, t -> t.parent = 0 or array_contains(places, t.parent)), t -> t.token)").alias("texts"))
-    main = (
-        vectors.filter("kind = 0 and length > 0")
-        .groupBy("host")
-        .agg(F.max_by("token", F.struct("length", "token")).alias("main"))
-    )
-    return keep(main.join(whole, "host", "full"), "templates")
+    often = vectors.filter(F.col("pages") >= LEAST_PAGES).join(sizes, "host").filter(F.col("pages") >= enough)
+    hosts = often.groupBy("host").agg(F.collect_list(F.struct("pages", "vector", *FIELDS)).alias("tokens"))
+
+    def deduce():
+        def one(column):
+            found = [Template(tokens.as_py()) for tokens in column]
+            return [[t.texts for t in found], [t.slots() for t in found]]
+
+        return one
+
+    numbers = T.ArrayType(T.LongType())
+    return keep(with_arrow(hosts, ["tokens"], [T.StructField("texts", numbers), T.StructField("slots", numbers)], deduce, ["host"]), "templates")
 
 
-def main_text(page: str, texts: frozenset[int], main: int | None) -> str:
-    """The page's main blocks, one a line.
+def main_text(page: str, texts: frozenset[int], slots: frozenset[int] | None) -> str:
+    """The page's main blocks, one a line, without the template's texts.
 
-    Blocks in article or main elements are taken if the page has any; else those in or under the host's
-    main slot, and without it all that the template doesn't hold.
+    Its main slot are the blocks in or under the host's, or those in article or main elements if they have at
+    least half as much text. If the template leaves nothing of it, or the page has none, all that the template
+    doesn't hold is taken.
     """
     found, _ = blocks(page)
-    inside = [w for _, w, aside, article in found if article and not aside]
-    if inside:
-        return "\n".join(inside)
-    left = [(p, w) for p, w, aside, _ in found if not aside and _number(p, w) not in texts]
-    if main is not None:
-        slot = [w for p, w in left if main in _ancestors(p)]
-        if slot:
-            return "\n".join(slot)
-    return "\n".join(w for _, w in left)
+    firm = [(p, w, article, not texts or _number(p, w) not in texts) for p, w, aside, article in found if not aside]
+    slot = [b for b in firm if slots and not slots.isdisjoint(_ancestors(b[0]))]
+    article = [b for b in firm if b[2]]
+    if sum(len(b[1]) for b in article) * 2 >= sum(len(b[1]) for b in slot):
+        slot = article or slot
+    left = [w for _, w, _, data in slot if data]
+    return "\n".join(left or [w for _, w, _, data in firm if data])
 
 
 def _ancestors(place: str) -> set[int]:
@@ -345,14 +390,14 @@ def extract(
     joined = pages.withColumn("__host", host_of(url_col)).join(found.withColumnRenamed("host", "__host"), "__host", "left")
 
     def make():
-        def one(column, texts, main):
+        def one(column, texts, slots):
             out = []
-            for v, t, m in zip(column, texts, main):
-                t = frozenset(t.values.to_numpy(zero_copy_only=False).tolist()) if t.is_valid else frozenset()
-                out.append(main_text(v.as_py() or "", t, m.as_py()))
+            for v, t, s in zip(column, texts, slots):
+                t, s = (frozenset(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else frozenset() for x in (t, s))
+                out.append(main_text(v.as_py() or "", t, s))
             return [pa.array(out, pa.string())]
 
         return one
 
     kept = pages.columns if keep_columns is None else keep_columns
-    return with_arrow(joined, [html_col, "texts", "main"], [T.StructField("main_text", T.StringType())], make, kept)
+    return with_arrow(joined, [html_col, "texts", "slots"], [T.StructField("main_text", T.StringType())], make, kept)

@@ -175,6 +175,43 @@ def test_pages(spark):
     assert html_template.main_text(page, frozenset(), None) == "T\nOne two\nFour bold"
 
 
+def host_template(pages):
+    """The template that a host's pages deduce, without Spark."""
+    sums = {}
+    for i, page in enumerate(pages):
+        for t in map(dict, (zip(html_template.FIELDS, t) for t in html_template.page_tokens(page))):
+            s = sums.setdefault(t["token"], t | {"pages": 0, "times": 0, "vector": 0, "length": 0, "total": 0})
+            for k, v in (("pages", 1), ("times", t["times"]), ("vector", hash((i, t["times"]))), ("length", t["length"]), ("total", t["total"])):
+                s[k] += v
+    often = [s for s in sums.values() if s["pages"] >= max(html_template.LEAST_PAGES, html_template.LEAST_SHARE * len(pages))]
+    found = html_template.Template(often)
+    return frozenset(found.texts), frozenset(found.slots())
+
+
+def words(page, k, n=12):
+    return " ".join(f"w{page}x{k}x{i}" for i in range(n))
+
+
+def test_template_is_of_whole_classes(spark):
+    """Boilerplate in repeated places goes, in articles too; a lone repeated sentence and copies stay."""
+    def page(i, body):
+        top = "<div class=t><ul><li>Home<li>News<li>About us</ul></div>"
+        return f"<html><body>{top}<article><h1>{words(i, 0)}</h1>{body}<p>Read our terms.</p></article></body></html>"
+
+    story = lambda i: "".join(f"<p>{words(i, k)}</p>" for k in range(1, 4))
+    text = lambda i: [words(i, k) for k in range(4)]
+    odd = "<p>A sentence of some pages.</p>"
+    pages = [page(i, story(i) + (odd if i % 2 else "")) for i in range(10)]
+    want = [text(i) + (["A sentence of some pages."] if i % 2 else []) for i in range(10)]
+    pages += [page(99, story(99))] * 6  # copies are 6 of 16 pages
+    want += [text(99)] * 6
+    frame = spark.createDataFrame([(i, "http://a.example/x", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["main_text"].split("\n") for r in html_template.extract(frame).collect()}
+    assert got == dict(enumerate(want))
+    texts, _ = host_template(pages)
+    assert len(texts) == 4
+
+
 def test_names_alone_set_no_article_aside():
     story = "<p>" + "A story of many words. " * 20 + "</p><p>Its end.</p>"
     want = ("A story of many words. " * 20).strip() + "\nIts end."
