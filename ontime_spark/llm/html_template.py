@@ -6,8 +6,10 @@ a sum of hashes over pages, so no vector is ever held. Tokens of one host with e
 equivalence class. From the classes of most pages down, a class is dealt to the slots of those before it,
 and is valid in a slot where enough of its tokens are, on enough pages. Texts of valid classes are the
 host's template, unless they are all that the slot's pages have: then the pages are copies. What the
-template doesn't hold is in its slots. The slot with most text over all pages of the host is the main one; an
-article or main element of a page stands for it unless it holds much less.
+template doesn't hold is in its slots. Main slots are the deepest containers that, over all pages of the host
+which have them, hold most of those pages' other text, with what is beside them up to the next container
+that mixes template and other text; so each layout has its own. An article or main element of a page stands for its slot unless it holds
+much less.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ ASIDE_NAMES = frozenset(
 )
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 MAIN = frozenset(("article", "main"))
+CONTAINERS = frozenset("html body div section article main center td form".split())
 
 NAMED_SHARE = 0.9  # of a page's text that a named element holds which is taken for its article
 NAMED_LENGTH = 200
@@ -52,6 +55,7 @@ LEAST_SHARE = 0.3  # of a host's pages that a class must occur in
 LEAST_PAGES = 3
 LEAST_SIZE = 3  # tokens of a class in one slot
 LEAST_DATA = 0.2  # of what a slot's pages have in it that a class in it must leave
+MAIN_SHARE = 2 / 3  # of its pages' text outside the template that a main slot holds
 
 _TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|(!--|!|\?|/))")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -112,16 +116,21 @@ def _freed(raw: list[tuple], holders: tuple[list, list]) -> set[int]:
     return freed
 
 
-def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]]:
-    """(blocks, places): each block's place, text, whether it is set aside and whether it is in the article.
+def blocks(
+    page: str, slots: frozenset[int] = frozenset()
+) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int], dict[str, tuple[str, str]]]:
+    """(blocks, places, around): each block's place, text, whether it is set aside and whether it is in the article.
 
     Blocks end where an element that breaks lines begins or ends. Comments, declarations and the
     contents of scripts and styles are no text. An end tag closes the last element of its name and
-    what is open inside it; without one it means nothing. places counts each place's elements.
-    A name sets an element aside unless it holds the page's article.
+    what is open inside it; without one it means nothing. places counts each place's elements;
+    around has its parent place and name. A name sets an element aside unless it holds the page's article or one
+    of the ``slots``.
     """
     raw: list[tuple] = []
     places: dict[str, int] = {}
+    around: dict[str, tuple[str, str]] = {}
+    opened: dict[str, tuple[int, ...]] = {}
     holders: tuple[list, list] = ([], [])  # named elements around each outer article, and each outer main element
     names = 0
     stack = [Element("", "", False, (), False, (-1, -1))]
@@ -157,15 +166,17 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
         if len(place) > 400:  # deep pages: the path's digest stands for its beginning
             place = hashlib.blake2b(place.encode(), digest_size=8).hexdigest()
         places[place] = places.get(place, 0) + 1
-        around, inside = top.named, list(top.holders)
+        numbers, inside = top.named, list(top.holders)
         if named:
             names += 1
-            around += (names,)
+            numbers += (names,)
+        around.setdefault(place, (top.place, name))
+        opened.setdefault(place, numbers)
         for kind, here in enumerate((article, middle)):
             if here and inside[kind] < 0:
                 inside[kind] = len(holders[kind])
-                holders[kind].append(around)
-        stack.append(Element(name, place, aside, around, main, tuple(inside)))
+                holders[kind].append(numbers)
+        stack.append(Element(name, place, aside, numbers, main, tuple(inside)))
 
     no_comment_end = False
     while at < size:
@@ -220,7 +231,10 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, int]
                 text.append(inside)
     flush()
     freed = _freed(raw, holders)
-    return [(p, w, aside or not freed.issuperset(named), main) for p, w, aside, named, main, _ in raw], places
+    for place in opened if slots else ():
+        if opened[place] and _number(place) in slots:
+            freed.update(opened[place])
+    return [(p, w, aside or not freed.issuperset(named), main) for p, w, aside, named, main, _ in raw], places, around
 
 
 def _number(*parts: str) -> int:
@@ -231,12 +245,13 @@ FIELDS = ("token", "times", "parent", "kind", "length", "total")
 
 
 def page_tokens(page: str) -> list[tuple[int, int, int, int, int, int]]:
-    """(token, times, parent token, kind, length, total) of a page: kind 0 is a place, 1 a text at a place.
+    """(token, times, parent token, kind, length, total) of a page: kind 0 is a place, 1 a text at a place,
+    2 a place that is a container, 3 a chief heading's.
 
-    A length counts text that is not set aside: a place's what is directly in it, a text's all its times; total
+    A length counts text that is not set aside: a place's all in and under it, a text's all its times; total
     is the page's.
     """
-    found, places = blocks(page)
+    found, places, around = blocks(page)
     lengths: dict[str, int] = {}
     texts: dict[tuple[str, str], list[int]] = {}
     for place, words, aside, _ in found:
@@ -246,11 +261,12 @@ def page_tokens(page: str) -> list[tuple[int, int, int, int, int, int]]:
         seen[1] += firm
         lengths[place] = lengths.get(place, 0) + firm
     total = sum(lengths.values())
+    # A place stands in ``around`` after its parent.
+    for p in reversed(around):
+        lengths[around[p][0]] = lengths.get(around[p][0], 0) + lengths.get(p, 0)
     number = {p: _number(p) for p in places} | {"": 0}
-    out = [
-        (number[p], n, number.get(p.rpartition("/")[0], 0), 0, lengths.get(p, 0), total)
-        for p, n in places.items()
-    ]
+    kind = lambda name: 2 if name in CONTAINERS else 3 if name == "h1" else 0
+    out = [(number[p], n, number[around[p][0]], kind(around[p][1]), lengths.get(p, 0), total) for p, n in places.items()]
     out += [(_number(p, w), n, number[p], 1, length, total) for (p, w), (n, length) in texts.items()]
     return out
 
@@ -298,8 +314,41 @@ class Template:
                 self.framed[t["token"]] = before + (0 if copies else own)
 
     def slots(self) -> list[int]:
-        most = max((t for t in self.at.values() if t["kind"] != 1 and t["length"]), key=lambda t: (t["length"], t["token"]), default=None)
-        return [most["token"]] if most else []
+        """The main slots: of those that a page has, the ones around no other are its own."""
+        held: dict[int, float] = {}  # the template's text in and under each place
+        marked: dict[int, set[int]] = {}  # children that hold a text of the template
+        titled: set[int] = set()  # places around chief headings
+        for text in map(self.at.get, self.texts):
+            below, p = None, text["parent"]
+            while p in self.at:
+                held[p] = held.get(p, 0) + text["length"]
+                marked.setdefault(p, set())
+                if below is not None:
+                    marked[p].add(below)
+                below, p = p, self.at[p]["parent"]
+        for p in (t["token"] for t in self.at.values() if t["kind"] == 3 and t["length"] > held.get(t["token"], 0)):
+            while p in self.at:
+                titled.add(p)
+                p = self.at[p]["parent"]
+        single = {t: v for t, v in self.at.items() if v["kind"] == 2 and v["times"] == v["pages"]}
+        found = set()
+        for token, place in single.items():
+            valid = token if token in self.framed else self.slot(place)
+            data = place["length"] - held.get(token, 0)
+            if data <= 0 or data < MAIN_SHARE * (place["total"] - place["pages"] * self.framed.get(valid, 0)):
+                continue
+            # What is beside it belongs to it, unless a container there is a slot of its own: it has text beside
+            # the template's, and no chief heading.
+            below, top, p = token, token, place["parent"]
+            while p in self.at:
+                others = [m for m in marked.get(p, ()) if m != below and m not in titled and self.at[m]["kind"] == 2]
+                if any(self.at[m]["length"] > held[m] for m in others):
+                    break
+                if p in single:
+                    top = p
+                below, p = p, self.at[p]["parent"]
+            found.add(top)
+        return sorted(found)
 
 
 def host_of(url: str):
@@ -353,13 +402,16 @@ def templates(pages: DataFrame, html_col: str = "html", url_col: str = "url", id
 def main_text(page: str, texts: frozenset[int], slots: frozenset[int] | None) -> str:
     """The page's main blocks, one a line, without the template's texts.
 
-    Its main slot are the blocks in or under the host's, or those in article or main elements if they have at
+    Its main slot are the blocks in or under the host's for its layout, or those in article or main elements if they have at
     least half as much text. If the template leaves nothing of it, or the page has none, all that the template
     doesn't hold is taken.
     """
-    found, _ = blocks(page)
+    found, places, around = blocks(page, slots or frozenset())
     firm = [(p, w, article, not texts or _number(p, w) not in texts) for p, w, aside, article in found if not aside]
-    slot = [b for b in firm if slots and not slots.isdisjoint(_ancestors(b[0]))]
+    own = [p for p in places if _number(p) in slots] if slots else []
+    outer = {q for p in own for q in _ancestors(p, around)[1:]}
+    inside = [[b for b in firm if p in _ancestors(b[0], around)] for p in own if p not in outer]
+    slot = max(inside, key=lambda found: sum(len(b[1]) for b in found), default=[])
     article = [b for b in firm if b[2]]
     if sum(len(b[1]) for b in article) * 2 >= sum(len(b[1]) for b in slot):
         slot = article or slot
@@ -367,11 +419,12 @@ def main_text(page: str, texts: frozenset[int], slots: frozenset[int] | None) ->
     return "\n".join(left or [w for _, w, _, data in firm if data])
 
 
-def _ancestors(place: str) -> set[int]:
-    out, at = set(), place
-    while at:
-        out.add(_number(at))
-        at = at.rpartition("/")[0]
+def _ancestors(place: str, around: dict[str, tuple[str, str]]) -> list[str]:
+    """A place and those around it."""
+    out = []
+    while place:
+        out.append(place)
+        place = around[place][0]
     return out
 
 

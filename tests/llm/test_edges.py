@@ -212,6 +212,32 @@ def test_template_is_of_whole_classes(spark):
     assert len(texts) == 4
 
 
+def test_main_slot_is_a_container_of_each_layout():
+    """Headings, lists, quotes, tables and leads beside the paragraphs stay, on both layouts of a host."""
+    def page(i):
+        head = "<div class=t><p>Home</p><p>All of our news</p></div>"
+        foot = f"<div class=z><p>All rights are ours</p></div><div class=more><h3>More to read</h3><p>{words(i, 90, 4)}</p></div>"
+        p = [f"<p>{words(i, k)}</p>" for k in range(20)]
+        if i % 2:
+            body = (
+                f"<div class=content><h1>{words(i, 30)}</h1><p class=lead>{words(i, 31)}</p>{''.join(p)}<h2>{words(i, 32)}</h2>"
+                f"<ul><li>{words(i, 33)}<li>{words(i, 34)}</ul><blockquote>{words(i, 35)}</blockquote><table><tr><td>{words(i, 36)}</table></div>"
+            )
+            want = [words(i, k) for k in (30, 31, *range(20), 32, 33, 34, 35, 36)]
+        else:
+            body = f"<div class=search><div class=top><p>Told by us</p><h1>{words(i, 30)}</h1></div><div class=story>{''.join(p)}<p><i>by {i}</i></p></div><div class=x><dl><dd>Letters to us</dl></div></div>"
+            want = [words(i, k) for k in (30, *range(20))] + [f"by {i}"]
+        return f"<html><body>{head}{body}{foot}</body></html>", want
+
+    pages = [page(i) for i in range(12)]
+    texts, slots = host_template([p for p, _ in pages])
+    for p, want in pages:
+        got = html_template.main_text(p, texts, slots).split("\n")
+        assert not set(got) & {"Home", "All of our news", "All rights are ours", "More to read", "Letters to us", "Told by us"}
+        assert got == want
+        assert got == want or "<h1>" not in p
+
+
 def test_names_alone_set_no_article_aside():
     story = "<p>" + "A story of many words. " * 20 + "</p><p>Its end.</p>"
     want = ("A story of many words. " * 20).strip() + "\nIts end."
