@@ -346,15 +346,16 @@ def _run_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def document_classes(
-    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = 5, percent: int = 80
+    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = 5, percent: int = 80,
+    more: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, links): documents with their class of equal sets, and links between classes.
 
-    members: (id, n_shingles, digest) per row of ``docs``; classes: (cid, digest, rep) where rep is the
+    members: (id, n_shingles, digest) and the columns ``more`` per row of ``docs``; classes: (cid, digest, rep) where rep is the
     class's least id; links: (u, v) of class numbers, enough to connect what similarity connects.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), *more)
     ranks = spark.sparkContext.broadcast(rank_table(texts, "text", words))
 
     def describe():
@@ -384,7 +385,7 @@ def document_classes(
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
     # Two passes: what the first writes is small, and the second's prefixes go straight to their classes.
-    members = keep(with_arrow(texts, ["text"], fields[:2], lambda: lambda c: describe()(c)[:2], ["id"]), "members")
+    members = keep(with_arrow(texts, ["text"], fields[:2], lambda: lambda c: describe()(c)[:2], ["id", *more]), "members")
     described = with_arrow(texts, ["text"], fields, describe, ["id"])
     classes = keep(
         described.filter("digest is not null")
@@ -546,6 +547,25 @@ def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int
     return found.join(wanted.select("cid", "digest"), "digest").select("cid", "members", "n", "sketch")
 
 
+def near_duplicate_rows(
+    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = 5, percent: int = 80,
+    more: tuple[str, ...] = (),
+) -> DataFrame:
+    """Rows (id, n_shingles, root, component_id) and the columns ``more``, one per row of ``docs``.
+
+    root numbers the component, also of rows without ids, and is null for a text without words.
+    """
+    members, classes, links = document_classes(docs, text_col, id_col, words, percent, more)
+    roots = components(links)
+    named = classes.join(roots, classes.cid == roots.node, "left").select(
+        "digest", "rep", F.coalesce("root", "cid").alias("root")
+    )
+    named = keep(named, "named")
+    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = keep(named.join(least, "root").select("digest", "root", "component_id"), "named")
+    return members.join(named, "digest", "left").drop("digest")
+
+
 def near_duplicate_groups(
     docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -559,15 +579,7 @@ def near_duplicate_groups(
     of equal text, also with equal id, share a component. A row with a null id takes part; its
     component is the least other id, or null. Other columns are ignored. An empty table gives no row.
     """
-    members, classes, links = document_classes(docs, text_col, id_col, words, percent)
-    roots = components(links)
-    named = classes.join(roots, classes.cid == roots.node, "left").select(
-        "digest", "rep", F.coalesce("root", "cid").alias("root")
-    )
-    named = keep(named, "named")
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = keep(named.join(least, "root").select("digest", "component_id"), "named")
-    joined = members.join(named, "digest", "left")
+    joined = near_duplicate_rows(docs, text_col, id_col, words, percent)
     return joined.select(
         F.col("id").alias(id_col),
         "n_shingles",

@@ -256,6 +256,36 @@ def test_names_alone_set_no_article_aside():
     assert text("<div class='menu'>Home</div>") == ""
 
 
+def test_dropped_near_copies_against_brute_force(spark):
+    """Exactly one row of each group stays, by id and never by chance, where ids repeat or are missing."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for group in range(6):
+        base = [f"g{group}w{i}" for i in range(60)]
+        for _ in range(4):
+            base = list(base)
+            base[int(rng.integers(50, 60))] = f"x{rng.integers(1000)}"
+            texts.append(" ".join(base))
+    ids = [None if i % 4 == 2 or 8 <= i < 12 else int(rng.integers(1, 9)) for i in range(len(texts))]
+    rows = [(i, t, "en", "a", len(t)) for i, t in zip(ids, texts)] * 2
+    rows += [(None, " ", None, "a", 1), (None, " ", None, "a", 1), (3, "", "en", "b", 0), (3, None, "en", "b", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for t in texts]
+    root = list(range(len(sets)))
+    for _ in range(len(sets)):
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+    least = {r: min((i for i, s in zip(ids, root) if s == r and i is not None), default=None) for r in root}
+    runs = [[tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, f, "").collect()] for f in (frame.coalesce(1), frame.repartition(3, "text"))]
+    assert sorted(runs[0], key=str) == sorted(runs[1], key=str)
+    named = {t: r for t, r in zip(texts, root)}
+    kept = [(named[r[1]], r[0]) for r in runs[0] if r[1] in named]
+    assert sorted(kept, key=str) == sorted(least.items(), key=str)
+    assert sorted(str(r[0]) for r in runs[0] if r[1] not in named) == ["3", "None", "None"]
+
+
 def test_pipeline_stages_keep_columns(spark, docs, empty):
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for name, stage in corpus_pipeline.STAGES[:-1]:
