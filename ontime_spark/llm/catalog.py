@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime_spark.llm import bpe, hilbert, html_template, jaccard_trie, language, mixing, pii, toxicity, vectors
+from ontime_spark.llm import (
+    bpe, hilbert, html_template, jaccard_trie, language, mixing, pii, radix_dedup, repair, toxicity, vectors, zfast_trie,
+)
 from ontime_spark.llm.common import held_out, table
 
 SHARDS = 16
@@ -103,11 +105,27 @@ def op10_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix tree of all conversations, rebuilt so that families share their first turns."""
+    return zfast_trie.conversation_tree(table(spark, sf_dir, "conversations")).drop("prefix")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations after damage: their faults, and the cheapest edits that mend them."""
+    return repair.audit(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the owner of their text; of equal texts the largest id stays."""
+    return radix_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_hilbert_sharding, op2_language_id, op3_ngram_jaccard_join, op4_byte_bpe, op5_projected_neighbours,
         op6_hamming_top_k, op7_poisson_mixing, op8_personal_data, op9_toxicity, op10_template_extraction,
+        op11_conversation_trie, op12_conversation_repair, op13_exact_dedup,
     )
 }
 
@@ -151,6 +169,19 @@ def _by_name_sql(column: str) -> str:
     return f"(CAST('0x' || substr(md5(coalesce({column}, '')), 1, 8) AS BIGINT) >> {32 - HILBERT_BITS})"
 
 
+#: The table of crc32 by bytes, and the crc32 of a column of texts of some table: c(text, crc).
+_CRC_SQL = """crc_table AS (
+    SELECT list(c ORDER BY i) AS crcs FROM (
+        SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) t(i))
+), crc AS (
+    SELECT k, CAST(xor(list_reduce(list_prepend(4294967295::BIGINT,
+            list_transform(range(0, length(k)), lambda i: CAST(ascii(substr(k, i + 1, 1)) AS BIGINT))),
+        lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) AS BIGINT) AS crc
+    FROM crc_keys, crc_table
+)"""
+
 SQL = {
     "op1_hilbert_sharding": f"""
 WITH crc_table AS (
@@ -239,5 +270,113 @@ WITH sizes AS (
 SELECT *, CAST('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy), 1, 13) AS BIGINT)
     / 4503599627370496.0 AS place
 FROM repeated
+""",
+    "op11_conversation_trie": f"""
+WITH ids AS (
+    SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL
+), crc_keys AS (
+    SELECT CAST(conv_id AS VARCHAR) AS k FROM ids
+), {_CRC_SQL}, turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token
+    FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+    SELECT conv_id, token, octet_length(encode(text)) AS size,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, token) AS place
+    FROM turns
+), heads AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS head, crc % 9 AS h FROM ids JOIN crc ON k = CAST(conv_id AS VARCHAR)
+), rebuilt AS (
+    SELECT i.conv_id, 0 AS part, place, token, size FROM heads i JOIN placed p ON p.conv_id = i.head AND place <= h
+    UNION ALL SELECT i.conv_id, 1, place, token, size FROM heads i JOIN placed p ON p.conv_id = i.conv_id AND place > h
+), paths AS (
+    SELECT i.conv_id, coalesce(list(token ORDER BY part, place) FILTER (token IS NOT NULL), []) AS path,
+        coalesce(list(size ORDER BY part, place) FILTER (token IS NOT NULL), []) AS sizes
+    FROM ids i LEFT JOIN rebuilt r ON r.conv_id = i.conv_id GROUP BY ALL
+), steps AS (
+    SELECT conv_id, path, sizes, unnest(range(0, len(path) + 1)) AS depth FROM paths
+), nodes AS (
+    SELECT list_slice(path, 1, depth) AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        any_value(CASE WHEN depth = 0 THEN 0 ELSE sizes[depth] END) AS size,
+        string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = len(path)) AS ends
+    FROM steps GROUP BY prefix, depth
+), children AS (
+    SELECT list_slice(prefix, 1, depth - 1) AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), above AS (
+    SELECT list_slice(prefix, 1, d) AS prefix, (n_convs - 1) * size AS saved, leaf FROM (
+        SELECT nodes.*, CASE WHEN children.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, depth + 1)) AS d
+        FROM nodes LEFT JOIN children USING (prefix))
+), sums AS (
+    SELECT prefix, CAST(sum(saved) AS BIGINT) AS saved, CAST(sum(leaf) AS BIGINT) AS leaves FROM above GROUP BY prefix
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, s.leaves AS n_leaves,
+    s.saved AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN sums s USING (prefix) LEFT JOIN children c USING (prefix)
+LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+""",
+    "op12_conversation_repair": f"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), crc_keys AS (SELECT DISTINCT k FROM keyed), {_CRC_SQL}, damaged AS (
+    SELECT conv_id, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role,
+        CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN crc % 20 = 3 THEN [0, 1] ELSE [0] END) AS again
+    FROM keyed JOIN crc USING (k) WHERE crc % 20 <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS pos,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM damaged
+), faulty AS (
+    SELECT *, lag(left(role, 1)) OVER c AS before, CASE WHEN body = '' THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+        WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+    FROM placed WINDOW c AS (PARTITION BY conv_id ORDER BY pos)
+), counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faulty GROUP BY conv_id
+), steps(state, initial, target) AS (
+    VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserts AS (
+    SELECT state, state AS target, 0 AS cost, '' AS letters, '' AS left_over FROM (VALUES (0), (1), (2), (3)) t(state)
+    UNION ALL SELECT state, target, 3, 'I', CASE initial WHEN 'u' THEN chr(10) || 'user:' ELSE chr(10) || 'assistant:' END
+        FROM steps WHERE initial <> 's'
+    UNION ALL SELECT state, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:' FROM steps WHERE initial = 'u' AND state < 2
+), moves AS (
+    SELECT conv_id, pos, state, state AS target, 4 AS cost, 'D' AS letters, '' AS left_over FROM faulty, (VALUES (0), (1), (2), (3)) t(state)
+    UNION ALL SELECT conv_id, pos, state, target, CASE WHEN fault IS NULL THEN 0 ELSE 3 END, 'K', chr(10) || role || ':' || text
+        FROM faulty JOIN steps ON initial = left(role, 1) WHERE fault IS NULL OR fault = 'truncated'
+    UNION ALL SELECT conv_id, pos, state, state, CASE WHEN fault IS NULL THEN 0 ELSE 3 END, 'K', chr(10) || role || ':' || text
+        FROM faulty, (VALUES (0), (1), (2), (3)) t(state) WHERE role = '' AND (fault IS NULL OR fault = 'truncated')
+    UNION ALL SELECT conv_id, pos, state, target, CASE WHEN fault IS NULL THEN 3 ELSE 6 END, 'R',
+            chr(10) || CASE initial WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text
+        FROM faulty JOIN steps ON initial <> 's' WHERE fault IS NULL OR fault = 'truncated'
+), plan AS (
+    SELECT conv_id, 0 AS pos, i.target AS state, {{'cost': i.cost, 'audit': i.letters, 'text': i.left_over}} AS best
+    FROM counts, inserts i WHERE i.state = 0
+    UNION ALL
+    SELECT p.conv_id, m.pos, i.target, min({{'cost': p.best.cost + m.cost + i.cost, 'audit': p.best.audit || m.letters || i.letters,
+        'text': p.best.text || m.left_over || i.left_over}})
+    FROM plan p JOIN moves m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.pos = p.pos + 1 AND m.state = p.state
+    JOIN inserts i ON i.state = m.target GROUP BY p.conv_id, m.pos, i.target
+), ended AS (
+    SELECT p.conv_id, min(best) AS best FROM plan p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.pos
+    WHERE state IN (0, 3) GROUP BY p.conv_id
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+    coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.text, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM i.conv_id
+""",
+    "op13_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """,
 }

@@ -109,6 +109,21 @@ def with_arrow(
     return sent.mapInArrow(apply, schema)
 
 
+HEAVY = 256
+
+
+def join_by_weight(rows: DataFrame, table: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``rows`` joined to ``table``, which has one row a key and in ``weight`` how many ``rows`` that key has.
+
+    Keys with more than a 256th of all rows, of which there are fewer than 256, are broadcast; the others
+    are small enough to be dealt by key.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    heavy, light = (table.filter(f"{weight} * {HEAVY} {sign} {total}") for sign in (">", "<="))
+    at_once = rows.join(F.broadcast(heavy), keys)
+    return at_once.unionByName(rows.join(F.broadcast(heavy.select(keys)), keys, "left_anti").join(light, keys))
+
+
 def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about ``size`` bytes: first row, UTF-8 bytes, and n + 1 offsets.
 
