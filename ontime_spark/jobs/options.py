@@ -8,7 +8,7 @@ import argparse
 def add_topic(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--topic", default="flight-events")
-    parser.add_argument("--messages", help="folder of message files in place of Kafka")
+    parser.add_argument("--messages", help="folder of message files in place of Kafka, below it topic=<name>")
     parser.add_argument("--format", default="parquet", help="format of the message files")
 
 

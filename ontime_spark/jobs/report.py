@@ -17,7 +17,7 @@ def reports(spark, **where) -> dict[str, DataFrame]:
     """Every report, over marts at ``root`` or over ``jdbc``."""
     carriers = read_mart(spark, "carrier_delay_agg", **where)
     airports = read_mart(spark, "airport_delay_agg", **where)
-    predictions = predictions_or_none(spark, **where)
+    predictions = predictions_or_none(spark, newest=dashboard.LATEST, **where)
     return {
         "stats": dashboard.kpi_stats(carriers),
         "carrier-delays": dashboard.top_carriers(carriers),

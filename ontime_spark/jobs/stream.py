@@ -5,13 +5,26 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
 from ontime_spark.functions.messages import decode_events, stamp_processing_time
 from ontime_spark.jobs.options import add_marts, add_topic, jdbc_of, need_one
 from ontime_spark.ml.forest import load_model
 from ontime_spark.session import build_session
 from ontime_spark.sinks import database
 from ontime_spark.sources.events import kafka_options, read_events
-from ontime_spark.streaming.queries import await_any, start_aggregates, start_scoring
+from ontime_spark.streaming.queries import OnBatch, run_queries, start_aggregates, start_marts, start_scoring
+
+
+def preview(rows: int) -> OnBatch:
+    """Prints the size of each batch and its first rows."""
+
+    def show(table: str, batch: DataFrame, batch_id: int) -> None:
+        print(f"{table}, batch {batch_id}: {batch.count()} rows")
+        batch.show(rows, truncate=False)
+
+    return show
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,13 +32,15 @@ def main(argv: list[str] | None = None) -> None:
     add_topic(parser)
     add_marts(parser)
     parser.add_argument("--checkpoints", required=True, help="folder of the queries' progress")
-    parser.add_argument("--quarantine", help="folder for rows no mart takes (default: --marts)")
+    parser.add_argument("--quarantine", help="folder for scored rows no mart takes (default: --marts)")
     parser.add_argument("--starting-offsets", default="earliest")
     parser.add_argument("--max-per-batch", help="messages (Kafka) or files a batch may take")
     parser.add_argument("--model", help="saved model; without one nothing is scored")
     parser.add_argument("--model-optional", action="store_true", help="go on if it cannot be loaded")
     parser.add_argument("--cap", type=int, default=0, help="scored rows kept per batch, 0 for all")
-    parser.add_argument("--watermark", help="e.g. '1 hour': windows older than that are dropped")
+    parser.add_argument("--watermark", help="with a database: e.g. '1 hour', windows older than that are dropped")
+    parser.add_argument("--preview", type=int, default=0, help="rows of each batch to print")
+    parser.add_argument("--restarts", type=int, default=0, help="how often failed queries start again")
     parser.add_argument("--event-time", action="store_true", help="window by the message's time")
     parser.add_argument("--available-now", action="store_true", help="stop at the end of the topic")
     args = parser.parse_args(argv)
@@ -39,34 +54,35 @@ def main(argv: list[str] | None = None) -> None:
         messages = read_events(spark, "kafka", options)
     else:
         limit = {"maxFilesPerTrigger": args.max_per_batch} if args.max_per_batch else {}
-        messages = read_events(spark, args.format, limit, args.messages)
+        messages = read_events(spark, args.format, limit, args.messages, topic=args.topic)
+    stamped = messages if args.event_time else stamp_processing_time(messages)
     time_col = "timestamp" if args.event_time else "processingTime"
-    if args.event_time:
-        events = decode_events(messages, keep=("timestamp",))
-    else:
-        events = stamp_processing_time(decode_events(messages))
+    events = decode_events(stamped, keep=(time_col,))
 
     jdbc = jdbc_of(args, os.environ)
     if jdbc is not None:
         database.create_tables(spark, jdbc)
     trigger = {"availableNow": True} if args.available_now else None
-    where = {
-        "checkpoints": args.checkpoints,
-        "trigger": trigger,
-        "jdbc": jdbc,
-        "quarantine": args.quarantine,
-    }
-    running = start_aggregates(
-        events, args.marts, time_col=time_col, watermark=args.watermark, **where
-    )
+    on_batch = preview(args.preview) if args.preview else None
     model = load_model(args.model, required=bool(args.model) and not args.model_optional)
-    scoring = start_scoring(events, model, args.marts, cap=args.cap or None, **where)
-    print("Scoring the stream" if scoring else "Not scoring: no model")
-    if args.available_now:
-        for query in running + ([scoring] if scoring else []):
-            query.awaitTermination()
-    else:
-        await_any(spark)
+    print("Scoring the stream" if model else "Not scoring: no model")
+
+    def start() -> list[StreamingQuery]:
+        if jdbc is None:
+            running = [start_marts(stamped, args.marts, args.checkpoints, time_col, trigger, on_batch)]
+        else:
+            watermark = {"watermark": args.watermark} if args.watermark else {}
+            running = start_aggregates(
+                events, None, args.checkpoints, time_col, trigger=trigger, jdbc=jdbc, on_batch=on_batch,
+                quarantine=args.quarantine, **watermark,
+            )
+        scoring = start_scoring(
+            events, model, args.marts, args.checkpoints, cap=args.cap or None, trigger=trigger, jdbc=jdbc,
+            on_batch=on_batch, quarantine=args.quarantine,
+        )
+        return running + ([scoring] if scoring else [])
+
+    run_queries(spark, start, args.restarts)
 
 
 if __name__ == "__main__":

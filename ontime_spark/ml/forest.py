@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ontime_spark.functions.numeric import round_half_up
@@ -49,8 +49,9 @@ def build_pipeline(
     bins: int = 400,
     seed: int = 42,
     memory_mb: int = 512,
+    bootstrap: bool = True,
 ) -> Pipeline:
-    """Features and a random forest.
+    """Features and a random forest. Without ``bootstrap`` every tree sees every row once.
 
     ``bins`` must exceed the number of values of every text feature. ``memory_mb`` is what the
     statistics of the tree nodes split together may take in a task; each pass over the training
@@ -64,6 +65,7 @@ def build_pipeline(
         maxBins=bins,
         seed=seed,
         maxMemoryInMB=memory_mb,
+        bootstrap=bootstrap,
     )
     return Pipeline(stages=[*feature_stages(text, numbers), forest])
 
@@ -72,7 +74,7 @@ def feature_columns(df: DataFrame, features: PipelineModel, *keep: str) -> DataF
     """Each feature as a column of its own, from fitted feature stages."""
     values = vector_to_array("features")
     return features.transform(df).select(
-        *keep, *(F.get(values, F.lit(i)).alias(name) for i, name in enumerate(FEATURES))
+        *keep, *(F.get(values, F.lit(i)).alias(name) for i, name in enumerate(feature_names(features)))
     )
 
 
@@ -170,3 +172,73 @@ def load_model(path: str | None, required: bool = True) -> PipelineModel | None:
         if required:
             raise
         return None
+
+
+def node_table(spark: SparkSession, model: PipelineModel, path: str) -> DataFrame:
+    """The trees of a fitted forest as rows, one per node, read from the model saved at ``path``.
+
+    An inner node sends a row left where its ``feature`` is at most ``threshold``, or where it is among
+    ``categories``, and right otherwise. ``feature`` is the vector's input column. A leaf has none.
+    """
+    save_model(model, path)
+    inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    last = len(model.stages) - 1
+    data = spark.read.parquet(f"{path}/stages/{last}_*/data")
+    node, split = "nodeData.", "nodeData.split."
+    inner = F.col(f"{node}leftChild") >= 0
+    listed = F.col(f"{split}numCategories") >= 0
+    values = F.col(f"{split}leftCategoriesOrThreshold")
+    feature = F.get(F.array(*map(F.lit, inputs)), F.col(f"{split}featureIndex"))
+    return data.select(
+        F.col("treeID").cast("int").alias("tree"),
+        F.col(f"{node}id").cast("int").alias("node"),
+        F.col(f"{node}prediction").alias("prediction"),
+        F.col(f"{node}impurity").alias("impurity"),
+        F.col(f"{node}gain").alias("gain"),
+        F.col(f"{node}rawCount").cast("bigint").alias("rows"),
+        F.when(inner, F.col(f"{node}leftChild")).cast("int").alias("left"),
+        F.when(inner, F.col(f"{node}rightChild")).cast("int").alias("right"),
+        F.when(inner, feature).alias("feature"),
+        F.when(inner & ~listed, F.get(values, F.lit(0))).alias("threshold"),
+        F.when(inner & listed, values).alias("categories"),
+    )
+
+
+def tree_expression(nodes: Sequence[Row]) -> Column:
+    """The prediction of one tree, as nested conditions on its input columns."""
+    known = {n["node"]: n for n in nodes}
+    made: dict[int, Column] = {}
+    for number in sorted(known, reverse=True):  # children are numbered after their parents
+        n = known[number]
+        if n["feature"] is None:
+            made[number] = F.lit(n["prediction"])
+            continue
+        value = F.col(n["feature"])
+        goes_left = value <= n["threshold"] if n["categories"] is None else value.isin(list(n["categories"]))
+        made[number] = F.when(goes_left, made[n["left"]]).otherwise(made[n["right"]])
+    return made[0]
+
+
+def score_by_nodes(df: DataFrame, model: PipelineModel, nodes: DataFrame) -> DataFrame:
+    """As :func:`score`, by conditions that Spark compiles and pushes about like any others.
+
+    Meant for small trees, whose nodes the driver can hold: for a hundred deep ones the model is faster.
+    """
+    indexed = fill_missing_delays(df)
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            indexed = stage.transform(indexed)
+    trees: dict[int, list[Row]] = {}
+    for node in nodes.collect():  # at most trees x 2^depth rows, bounded by the model's settings
+        trees.setdefault(node["tree"], []).append(node)
+    total = sum((tree_expression(trees[t]) for t in sorted(trees)), F.lit(0.0))
+    return indexed.withColumn("prediction", total / float(len(trees)))
+
+
+def node_means(rows: DataFrame, model: PipelineModel, nodes: DataFrame, label: str = LABEL) -> DataFrame:
+    """The leaves' means from the rows themselves: (prediction, mean, rows), one row per leaf value.
+
+    A check of what the trees hold, by one aggregate.
+    """
+    scored = score_by_nodes(rows, model, nodes)
+    return scored.groupBy("prediction").agg(F.avg(label).alias("mean"), F.count(label).alias("rows"))

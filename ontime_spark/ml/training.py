@@ -36,14 +36,18 @@ class Training:
     counts: dict[str, int]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores, when it comes in fewer partitions than there are.
+LEAST_PARTITIONS = 8
+ROWS_A_PARTITION = 200_000
 
-    Training goes over its rows many times, so one small file must not keep it on one core. Input
-    of any size has partitions enough and is left alone.
+
+def laid_out(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in partitions that its rows alone decide.
+
+    A forest draws its bags partition by partition, in order. Partitions by number of rows and by hash, each
+    in order, give the same forest on any cluster and for any files.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    parts = max(LEAST_PARTITIONS, -(-rows // ROWS_A_PARTITION))
+    return df.repartition(parts, *df.columns).sortWithinPartitions(*df.columns)
 
 
 def draw_sample(
@@ -55,9 +59,9 @@ def draw_sample(
 ) -> Sample:
     """Clean, sample and split records, or the rows of a file read by header name.
 
-    The sample is written to the shared folder once: training reads it many times, and rows
-    drawn at random must not be drawn anew when an executor is lost. With ``key`` the rows are
-    chosen by its hash in whole percents, the same ones on any cluster.
+    The sample is written to the shared folder once, as training reads it many times. Rows are drawn by
+    the hash of their content, equal ones each for itself, or with ``key`` by its hash in whole percents:
+    the same rows on any cluster either way.
     """
     spark = rows.sparkSession
     seen = Observation()
@@ -65,12 +69,12 @@ def draw_sample(
     cleaned = clean_for_training(rows, keep=keep).observe(seen, F.count(F.lit(1)).alias("cleaned"))
     path = scratch_path(spark, "training-sample")
     if key is None:
-        spread(bernoulli_sample(cleaned, fraction, seed)).write.parquet(path)
+        bernoulli_sample(cleaned, fraction, seed).write.parquet(path)
         sample = spark.read.parquet(path)
         parts = random_split(sample, (train_fraction, 1 - train_fraction), seed)
     else:
         sampled = hash_sample(cleaned, key, round(fraction * 100))
-        spread(hash_split(sampled, key, round(train_fraction * 100))).write.parquet(path)
+        hash_split(sampled, key, round(train_fraction * 100)).write.parquet(path)
         sample = spark.read.parquet(path)
         parts = [sample.where(F.col("split") == name).drop("split") for name in ("train", "test")]
     sampled_rows, train_rows = sample.count(), parts[0].count()
@@ -89,7 +93,7 @@ def train(rows: DataFrame, pipeline: Pipeline | None = None, **sampling) -> Trai
     ``sampling`` goes to :func:`draw_sample`.
     """
     sample = draw_sample(rows, **sampling)
-    model = (pipeline or forest.build_pipeline()).fit(sample.train)
+    model = (pipeline or forest.build_pipeline()).fit(laid_out(sample.train, sample.counts["train"]))
     predictions = model.transform(sample.test)
     return Training(
         model=model,

@@ -16,6 +16,81 @@ TUMBLING = "5 minutes"
 SLIDING = "15 minutes"
 
 
+def _sums(df: DataFrame, group: list[Column | str], delays: tuple[str, ...], flights: bool = True) -> DataFrame:
+    """The sum and number of each delay, and flights, by ``group``: what any two groups add up from."""
+    measures = [m for d in delays for m in (F.sum(d).alias(f"{d}_sum"), F.count(d).alias(f"{d}_n"))]
+    if flights:
+        measures += [F.count("*").alias("flights"), count_true("cancelled").alias("cancels")]
+    return df.groupBy(*group).agg(*measures)
+
+
+def _mean(delay: str) -> Column:
+    return round_half_up(F.try_divide(F.col(f"{delay}_sum"), F.col(f"{delay}_n")))
+
+
+CARRIER_MEANS = {
+    "avg_arr_delay": "arrDelay", "avg_dep_delay": "depDelay",
+    "avg_weather_delay": "weatherDelay", "avg_carrier_delay": "carrierDelay",
+}
+AIRPORT_MEANS = {"avg_arr_delay": "arrDelay"}
+CAUSE_MEANS = {
+    "avg_carrier_delay": "carrierDelay", "avg_weather_delay": "weatherDelay", "avg_nas_delay": "nasDelay",
+    "avg_security_delay": "securityDelay", "avg_late_aircraft_delay": "lateAircraftDelay",
+}
+
+
+def _tumbling_sums(df: DataFrame, time_col: str, window: str, key: list[str], delays, flights: bool) -> DataFrame:
+    sums = _sums(df.where(F.col(time_col).isNotNull()), [F.window(time_col, window), *key], tuple(delays), flights)
+    return sums.select(*_bounds(), *key, *(c for c in sums.columns if c not in ("window", *key)))
+
+
+def carrier_sums(df: DataFrame, time_col: str = "processingTime", window: str = TUMBLING) -> DataFrame:
+    """What :func:`carrier_delays` is made from, per window and carrier; rows without carrier are left out."""
+    return _tumbling_sums(df.where("carrier is not null"), time_col, window, ["carrier"], CARRIER_MEANS.values(), True)
+
+
+def cause_sums(df: DataFrame, time_col: str = "processingTime", window: str = TUMBLING) -> DataFrame:
+    """What :func:`cause_delays` is made from, per window."""
+    return _tumbling_sums(df, time_col, window, [], CAUSE_MEANS.values(), False)
+
+
+def airport_sums(
+    df: DataFrame, time_col: str = "processingTime", window: str = SLIDING, slide: str = TUMBLING
+) -> DataFrame:
+    """What :func:`airport_delays` is made from, per sliding window and origin; rows without origin are left out.
+
+    A flight is summed into its slide first where windows are made of whole slides, and the sums are copied.
+    """
+    rows = df.where(F.col("origin").isNotNull() & F.col(time_col).isNotNull())
+    if is_multiple(window, slide):
+        panes = _sums(rows, [F.window(time_col, slide).alias("pane"), "origin"], ("arrDelay",))
+        measures = [c for c in panes.columns if c not in ("pane", "origin")]
+        panes = panes.select(F.col("pane.start").alias("pane_start"), "origin", *measures)
+        sums = panes.groupBy(F.window("pane_start", window, slide), "origin").agg(*(F.sum(m).alias(m) for m in measures))
+    else:
+        sums = _sums(rows, [F.window(time_col, window, slide), "origin"], ("arrDelay",))
+    return sums.select(*_bounds(), "origin", *(c for c in sums.columns if c not in ("window", "origin")))
+
+
+def _with_means(sums: DataFrame, means: dict[str, str]) -> DataFrame:
+    made = {name: _mean(delay) for name, delay in means.items()}
+    if "flights" in sums.columns:
+        made |= {"total_flights": F.col("flights"), "cancellations": F.col("cancels")}
+    return sums.withColumns(made)
+
+
+def carrier_means(sums: DataFrame) -> DataFrame:
+    return _with_means(sums, CARRIER_MEANS)
+
+
+def airport_means(sums: DataFrame) -> DataFrame:
+    return _with_means(sums, AIRPORT_MEANS)
+
+
+def cause_means(sums: DataFrame) -> DataFrame:
+    return _with_means(sums, CAUSE_MEANS)
+
+
 def with_watermark(df: DataFrame, time_col: str, watermark: str | None) -> DataFrame:
     """Let a stream drop windows this far behind. Time without zone is read as session time."""
     if watermark is None:

@@ -6,6 +6,7 @@ queries in SQL.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,12 +20,13 @@ from ontime_spark.functions.numeric import round_half_up
 from ontime_spark.ml import forest, training
 from ontime_spark.operators import records, sampling, windows
 from ontime_spark.plans import dashboard, history
-from ontime_spark.schemas import MARTS, RAW_FIELDS, RECORD_COLUMNS
+from ontime_spark.schemas import MARTS, RAW_COLUMNS
 from ontime_spark.session import scratch_path
-from ontime_spark.sinks import marts
+from ontime_spark.sinks import manifest, marts
 from ontime_spark.sinks.conform import conform
 from ontime_spark.sources import raw_csv, testdata
-from ontime_spark.sources.marts import read_mart
+from ontime_spark.sources.events import read_events
+from ontime_spark.sources.marts import newest_rows, read_mart
 from ontime_spark.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +175,19 @@ def csv_by_name(spark, sf_dir):
     return records.clean_for_training(raw_csv.read_by_name(spark, written_file(spark, sf_dir)))
 
 
+@query
+def csv_by_name_mixed(spark, sf_dir):
+    """Files whose headers are in two orders, and some that lack columns nobody reads."""
+    path = scratch_path(spark, "mixed-csv")
+    raw = testdata.raw_columns(testdata.flights(spark, sf_dir), keep=("eventId",))
+    unread = ("DEST_STATE_ABR", "TAXI")
+    orders = [list(RAW_COLUMNS), list(RAW_COLUMNS)[::-1], [c for c in RAW_COLUMNS if c not in unread]]
+    for i, names in enumerate(orders):
+        part = raw.where(F.col("eventId") % len(orders) == i).select(*names)
+        part.write.mode("append").option("header", True).option("emptyValue", "").csv(path)
+    return records.clean_for_training(raw_csv.read_by_name(spark, path))
+
+
 # --- rows derived from records ------------------------------------------------------------------
 
 
@@ -248,6 +263,12 @@ def airport_sliding(spark, sf_dir):
     return windows.airport_delays(published(spark, sf_dir), "eventTime")
 
 
+@query
+def airport_sliding_uneven(spark, sf_dir):
+    """Windows that are no multiple of their slide."""
+    return windows.airport_delays(published(spark, sf_dir), "eventTime", "15 minutes", "10 minutes")
+
+
 @query
 def cause_tumbling(spark, sf_dir):
     return windows.cause_delays(published(spark, sf_dir), "eventTime")
@@ -442,6 +463,81 @@ def append_by_batch(spark, sf_dir):
     return plain(stored.drop("run"))
 
 
+@query
+def upsert_after_crash(spark, sf_dir):
+    """As mart_upsert, but a writer of the second batch died before its entry, and the batch is repeated."""
+    root, table = scratch_path(spark, "upsert-after-crash"), "carrier_delay_agg"
+    later = F.col("eventTime") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    first = windows.carrier_delays(published(spark, sf_dir), "eventTime")
+    second = windows.carrier_delays(published(spark, sf_dir, "keep").where(later), "eventTime")
+    marts.upsert(first, root, table, batch_id=0, run="night")
+    lost = read_mart(spark, table, root, with_batch=True).withColumn("total_flights", F.lit(-1))
+    manifest.write(lost, f"{root}/{table}", manifest.new_version(), "window_date")
+    for batch_id in (1, 1, 0):
+        marts.upsert(second, root, table, batch_id, run="night")
+    return plain(read_mart(spark, table, root, with_batch=True).drop("window_date"))
+
+
+@query
+def append_new_checkpoint(spark, sf_dir):
+    """Batches of two runs, whose numbers are alike, some of them repeated; and enough to merge their files."""
+    root, table = scratch_path(spark, "append-new-checkpoint"), "flight_predictions"
+    rows = predictions(spark, sf_dir)
+    for run, batches in (("first", (0, 1, 1, 2, 3, 4)), ("second", (0, 0, 1, 2, 3))):
+        for batch_id in batches:
+            part = rows.where(F.col("flight_number").cast("int") % 5 == batch_id)
+            marts.append_batch(part, root, table, batch_id, run)
+    return plain(read_mart(spark, table, root, with_batch=True))
+
+
+@query
+def latest_predictions_pruned(spark, sf_dir):
+    """The newest predictions out of a stored table, from the newest dates that hold enough of them."""
+    root = scratch_path(spark, "latest-pruned")
+    marts.append_batch(predictions(spark, sf_dir), root, "flight_predictions")
+    return plain(dashboard.latest_predictions(newest_rows(spark, "flight_predictions", root, 20)))
+
+
+def summed_mart(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A mart added up from three batches that all hold rows of every date, one of them given twice."""
+    root = scratch_path(spark, "summed-marts")
+    flights = published(spark, sf_dir)
+    sums, means = next((s, m) for name, s, m in streams.SUMMED if name == table)
+    for batch_id in (0, 1, 1, 2):
+        part = flights.where(F.col("eventId") % 3 == batch_id)
+        marts.add(sums(part, "eventTime"), root, table, means, batch_id, "summed")
+    return root
+
+
+@query
+def carrier_summed(spark, sf_dir):
+    """Carrier windows whose flights came in three batches, one of them twice."""
+    return plain(read_mart(spark, "carrier_delay_agg", summed_mart(spark, sf_dir, "carrier_delay_agg")).drop("window_date"))
+
+
+@query
+def airport_summed(spark, sf_dir):
+    return plain(read_mart(spark, "airport_delay_agg", summed_mart(spark, sf_dir, "airport_delay_agg")).drop("window_date"))
+
+
+SINCE, UNTIL = datetime.date(2024, 1, 10), datetime.date(2024, 1, 20)
+
+
+@query
+def kpi_stats_range(spark, sf_dir):
+    """Exact totals of a range of dates, out of the sums of its windows; other dates are not read."""
+    root = summed_mart(spark, sf_dir, "carrier_delay_agg")
+    mart = read_mart(spark, "carrier_delay_agg", root, with_sums=True, since=SINCE, until=UNTIL)
+    return dashboard.kpi_totals(mart)
+
+
+@query
+def top_carriers_range(spark, sf_dir):
+    root = summed_mart(spark, sf_dir, "carrier_delay_agg")
+    mart = read_mart(spark, "carrier_delay_agg", root, with_sums=True, since=SINCE, until=UNTIL)
+    return dashboard.top_totals(mart, "carrier")
+
+
 # --- samples and the model ----------------------------------------------------------------------
 
 
@@ -459,7 +555,14 @@ def hash_split(spark, sf_dir):
 
 @query
 def bernoulli_sample(spark, sf_dir):
-    return sampling.bernoulli_sample(testdata.events(spark, sf_dir)).select("event_id")
+    return sampling.bernoulli_sample(testdata.events(spark, sf_dir).select("event_id"))
+
+
+@query
+def sample_with_repeats(spark, sf_dir):
+    """A sample of rows that are mostly there several times: each is drawn for itself."""
+    rows = testdata.events(spark, sf_dir).select("event_type", (F.col("user_id") % 5).alias("who"))
+    return sampling.bernoulli_sample(rows.withColumn("who", F.when(F.col("who") > 0, F.col("who"))))
 
 
 @query
@@ -526,6 +629,88 @@ def rf_metrics(spark, sf_dir):
     return plain(training.result_row(published_training(spark, sf_dir)))
 
 
+def carrier_tree(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel, DataFrame]:
+    """Training rows, a single tree over carrier and month that has seen them all, and its nodes."""
+    rows = clean_for_ml(spark, sf_dir)
+    pipeline = forest.build_pipeline(("carrier",), ("month",), trees=1, depth=8, bins=64, bootstrap=False)
+    model = pipeline.fit(training.laid_out(rows, rows.count()))
+    return rows, model, forest.node_table(spark, model, scratch_path(spark, "carrier-tree"))
+
+
+def mean_of(column: Column | str) -> Column:
+    return round_half_up(F.col(column) if isinstance(column, str) else column, 6)
+
+
+@query
+def tree_means(spark, sf_dir):
+    """A tree's prediction for every row: the mean of the row's leaf."""
+    rows, model, _ = carrier_tree(spark, sf_dir)
+    return forest.score(rows, model).select("eventId", mean_of("prediction").alias("prediction"))
+
+
+@query
+def tree_by_nodes(spark, sf_dir):
+    """The same from the tree's nodes, as conditions on columns."""
+    rows, model, nodes = carrier_tree(spark, sf_dir)
+    return forest.score_by_nodes(rows, model, nodes).select("eventId", mean_of("prediction").alias("prediction"))
+
+
+@query
+def tree_leaves(spark, sf_dir):
+    """What each leaf predicts, and the mean and number of the rows that reach it."""
+    rows, model, nodes = carrier_tree(spark, sf_dir)
+    found = forest.node_means(rows, model, nodes)
+    return found.select(mean_of("prediction").alias("prediction"), mean_of("mean").alias("mean"), "rows")
+
+
+@query
+def tree_importance(spark, sf_dir):
+    """The carrier decides all; the month, which is the same everywhere, nothing."""
+    return forest.feature_importance(spark, carrier_tree(spark, sf_dir)[1])
+
+
+@query
+def tree_saved_and_loaded(spark, sf_dir):
+    """Predictions per carrier of a model that was saved and loaded again."""
+    rows, model, _ = carrier_tree(spark, sf_dir)
+    path = scratch_path(spark, "saved-model")
+    forest.save_model(model, path)
+    scored = forest.score(rows, forest.load_model(path))
+    return scored.groupBy("carrier").agg(mean_of(F.min("prediction")).alias("low"), mean_of(F.max("prediction")).alias("high"))
+
+
+def quality(rows: DataFrame) -> DataFrame:
+    """A row of ml_results for the fixed formula."""
+    metrics = forest.regression_metrics(rows.withColumn("prediction", fixed_prediction()))
+    return metrics.select("r2", "mae", "rmse", F.col("rows").alias("total_records"), F.lit("depDelay").alias("top_feature"))
+
+
+@query
+def results_history(spark, sf_dir):
+    """The metrics of two trainings, the second of them stored twice: each is there once."""
+    root, rows = scratch_path(spark, "results"), clean_for_ml(spark, sf_dir)
+    for run, part in (("one", rows), ("two", rows.where("carrier <> 'CL'")), ("two", rows)):
+        marts.append_batch(quality(part), root, "ml_results", 0, run)
+    stored = read_mart(spark, "ml_results", root, with_batch=True)
+    return plain(stored.select("run", "r2", "mae", "rmse", "total_records", "top_feature"))
+
+
+@query
+def importance_upsert(spark, sf_dir):
+    """Shares of the causes in all delays, then those of one carrier for some of them, merged by name."""
+    root, flights = scratch_path(spark, "importance"), testdata.flights(spark, sf_dir)
+
+    def shares(rows: DataFrame, causes: list[str]) -> DataFrame:
+        total = sum((F.sum(c) for c in causes), F.lit(0.0))
+        pairs = [F.struct(F.lit(c).alias("feature_name"), F.try_divide(F.sum(c), total).alias("importance")) for c in causes]
+        return rows.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+
+    causes = ["carrierDelay", "weatherDelay", "nasDelay"]
+    marts.upsert(shares(flights, causes), root, "ml_feature_importance", unique=True)
+    marts.upsert(shares(flights.where("carrier = 'CL'"), causes[:2]), root, "ml_feature_importance", 1, unique=True)
+    return plain(read_mart(spark, "ml_feature_importance", root))
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -587,6 +772,13 @@ def stream_scoring(spark, sf_dir):
     return streamed_predictions(spark, sf_dir, published_training(spark, sf_dir).model, cap=None)
 
 
+@query
+def stream_scoring_tree(spark, sf_dir):
+    """The stream scored by a tree that was saved and loaded, every row kept."""
+    _, model, _ = carrier_tree(spark, sf_dir)
+    return streamed_predictions(spark, sf_dir, model, cap=None)
+
+
 def fixed_model() -> PipelineModel:
     return PipelineModel([
         SQLTransformer(statement="SELECT *, depDelay * 0.9D + 2 AS prediction FROM __THIS__")
@@ -603,3 +795,56 @@ def stream_scoring_fixed(spark, sf_dir):
 def stream_scoring_capped(spark, sf_dir):
     """The first 50 rows of the batch in the scoring order."""
     return streamed_predictions(spark, sf_dir, fixed_model(), cap=50)
+
+
+def write_topic(messages: DataFrame, path: str, days: list[tuple[int, int]]) -> None:
+    """Messages of some days of the month as files of a topic, one file each, in this order."""
+    day = F.dayofmonth("timestamp")
+    for low, high in days:
+        messages.where((day >= low) & (day < high)).coalesce(1).write.mode("append").parquet(path)
+
+
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encode_events(testdata.flights(spark, sf_dir), keep=("eventTime", "cancelled", "eventId"))
+    return rows.withColumn("timestamp", F.col("eventTime").cast("timestamp")).drop("eventTime")
+
+
+def fed_marts(spark: SparkSession, messages: DataFrame, feeds: list[list[tuple[int, int]]]) -> str:
+    """Marts fed by one query that starts anew for each of ``feeds`` and takes a file a batch."""
+    root = scratch_path(spark, "fed-marts")
+    for days in feeds:
+        write_topic(messages.select("key", "value", "timestamp"), f"{root}/topic", days)
+
+        def start():
+            topic = read_events(spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{root}/topic")
+            return [streams.start_marts(topic, f"{root}/marts", f"{root}/checkpoints", "timestamp", {"availableNow": True})]
+
+        streams.run_queries(spark, start)
+    return f"{root}/marts"
+
+
+WEEKS = [(1, 9), (9, 17), (17, 25), (25, 32)]
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Weeks that arrive out of order, a batch each: rows that are weeks late count in their windows."""
+    root = fed_marts(spark, topic_messages(spark, sf_dir), [[WEEKS[2], WEEKS[0], WEEKS[3], WEEKS[1]]])
+    return plain(read_mart(spark, "carrier_delay_agg", root).drop("window_date"))
+
+
+@query
+def stream_restarted(spark, sf_dir):
+    """Several batches, then a new start from the checkpoint, then several more."""
+    root = fed_marts(spark, topic_messages(spark, sf_dir), [WEEKS[:2], WEEKS[2:]])
+    return plain(read_mart(spark, "airport_delay_agg", root).drop("window_date"))
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    """Messages that could not be read, each once, with their text; several batches and a restart."""
+    messages = topic_messages(spark, sf_dir)
+    broken = F.concat(F.lit("#"), F.col("eventId").cast("string"))
+    messages = messages.withColumn("value", F.when(F.col("cancelled"), broken).otherwise(F.col("value")))
+    root = fed_marts(spark, messages, [WEEKS[:2], WEEKS[2:]])
+    return plain(read_mart(spark, "message_quarantine", root).select("key", "value", "reason", "received"))

@@ -67,6 +67,31 @@ def top_airports(
     return _worst(airport_mart, "origin", [flights.alias("total_flights")], k, weighted)
 
 
+def _exact_mean(delay: str = "arrDelay") -> Column:
+    """The mean over flights, from the sums that a mart keeps."""
+    return round_half_up(F.try_divide(F.sum(f"{delay}_sum"), F.sum(f"{delay}_n")))
+
+
+def kpi_totals(carrier_mart: DataFrame) -> DataFrame:
+    """As :func:`kpi_stats`, with the mean over flights; the mart is read with its sums."""
+    return carrier_mart.agg(
+        F.coalesce(_exact_mean(), F.lit(0.0)).alias("overall_avg_delay"),
+        F.coalesce(F.sum("flights"), F.lit(0)).alias("total_flights"),
+        F.coalesce(F.sum("cancels"), F.lit(0)).alias("total_cancellations"),
+        F.countDistinct("carrier").alias("carriers_tracked"),
+    )
+
+
+def top_totals(mart: DataFrame, key: str, k: int = 10) -> DataFrame:
+    """The keys with the highest mean over their flights; the mart is read with its sums."""
+    return (
+        mart.groupBy(key)
+        .agg(_exact_mean().alias("avg_delay"), F.sum("flights").alias("total_flights"), F.sum("cancels").alias("cancellations"))
+        .orderBy(F.desc_nulls_first("avg_delay"), key)
+        .limit(k)
+    )
+
+
 # The causes on the chart, with their mart columns. Security is not shown.
 CHART_CAUSES = (
     ("Carrier", "avg_carrier_delay"),
@@ -100,7 +125,10 @@ PREDICTION_COLUMNS = (
 )
 
 
-def latest_predictions(predictions: DataFrame, k: int = 20) -> DataFrame:
+LATEST = 20  # predictions shown
+
+
+def latest_predictions(predictions: DataFrame, k: int = LATEST) -> DataFrame:
     """The newest predictions. Rows of one batch share a time, so the rest of the row orders them."""
     rest = [c for c in PREDICTION_COLUMNS if c != "processed_at"]
     return (
@@ -135,7 +163,7 @@ def airport_leaderboard(
     )
 
 
-def prediction_board(predictions: DataFrame, k: int = 20) -> DataFrame:
+def prediction_board(predictions: DataFrame, k: int = LATEST) -> DataFrame:
     """The newest predictions as shown: labels, late flags and how close each one came."""
     c = F.col
     return latest_predictions(predictions, k).select(

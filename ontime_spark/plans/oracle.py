@@ -114,6 +114,15 @@ def airport_windows(source: str) -> str:
   group by all"""
 
 
+def uneven_windows(source: str) -> str:
+    return f"""select start as window_start, start + interval '15 minutes' as window_end, origin,
+    {mean('"arrDelay"')} as avg_arr_delay,
+    count(*) as total_flights, {count_true('"cancelled"')} as cancellations
+  from (select *, time_bucket(interval '10 minutes', "eventTime")
+      - unnest([0, 10]) * interval '1 minute' as start from {source})
+  where "eventTime" < start + interval '15 minutes' group by all"""
+
+
 def cause_windows(source: str) -> str:
     means = ", ".join(f"{mean(chr(34) + field + chr(34))} as {name}" for field, name in CAUSES.items())
     return f"select {TUMBLING}, {means} from {source} group by all"
@@ -223,6 +232,11 @@ def percent(text: str) -> str:
     return f"cast(('0x' || substr(md5({text}), 1, 7)) as bigint) % 100"
 
 
+def draw(text: str) -> str:
+    """0 to 1 by the first 13 hex digits of an MD5."""
+    return f"cast(('0x' || substr(md5({text}), 1, 13)) as bigint) / 4503599627370496.0"
+
+
 FAULTS = f"""{FLIGHTS}, judged as (
   select *, "eventId" % 20 as kind, case when "eventId" % 20 in (1, 5, 10) then 'columns'
     when "eventId" % 20 = 3 then 'flightDate' when "eventId" % 20 = 6 then 'crsDepTime' end as fault
@@ -268,6 +282,10 @@ trimmed as (select event_id, trim(padded, ' ' || chr(9)) as text from texts)"""
 EVENT_COLUMNS = _columns(*MESSAGE)
 EVENT_FIELDS = f"""cast("flightDate" as varchar) as "flightDate", {EVENT_COLUMNS}"""
 
+TREE = f"""with {CLEAN}
+select "eventId", {rounded('avg("arrDelay") over (partition by "carrier")', 6)} as prediction from clean"""
+RANGE = """"eventTime" >= timestamp '2024-01-10' and "eventTime" < timestamp '2024-01-20'"""
+
 ORACLE: dict[str, str] = {
     "parse_raw": f'with {FLIGHTS} select {_columns(*RECORD, "eventId")} from flights',
     "parse_strict_int": f"""with {FLIGHTS}
@@ -379,6 +397,63 @@ where not exists (select 1 from new
     "append_by_batch": f"""with {PREDICTIONS}
 select {PREDICTION}, processed_at, cast(batch_id as bigint) as batch_id
 from predictions, (values (0), (1)) batches(batch_id)""",
+    "append_new_checkpoint": f"""with {PREDICTIONS}
+select {PREDICTION}, processed_at, run, cast(batch_id as bigint) as batch_id
+from predictions, (values ('first', 0), ('first', 1), ('first', 2), ('first', 3), ('first', 4),
+  ('second', 0), ('second', 1), ('second', 2), ('second', 3)) batches(run, batch_id)
+where cast(flight_number as int) % 5 = batch_id""",
+    "latest_predictions_pruned": f"with {LATEST} select * from latest",
+    "airport_sliding_uneven": f"with {PUBLISHED} {uneven_windows('published')}",
+    "carrier_summed": f"with {PUBLISHED} {carrier_windows('published')}",
+    "airport_summed": f"with {PUBLISHED} {airport_windows('published')}",
+    "kpi_stats_range": f"""with {PUBLISHED}
+select coalesce({mean('"arrDelay"')}, 0) as overall_avg_delay, count(*) as total_flights,
+  coalesce({count_true('"cancelled"')}, 0) as total_cancellations, count(distinct "carrier") as carriers_tracked
+from published where {RANGE}""",
+    "top_carriers_range": f"""with {PUBLISHED}
+select "carrier" as carrier, {mean('"arrDelay"')} as avg_delay, count(*) as total_flights,
+  {count_true('"cancelled"')} as cancellations
+from published where {RANGE} group by "carrier" order by avg_delay desc nulls first, carrier limit 10""",
+    "stream_late_rows": f"with {PUBLISHED} {carrier_windows('published')}",
+    "stream_restarted": f"with {PUBLISHED} {airport_windows('published')}",
+    "stream_quarantine": f"""with {FLIGHTS}
+select "carrier" || '-' || "flightNumber" || '-' || "flightDate" as key, '#' || "eventId" as value,
+  'no JSON' as reason, "eventTime" as received from flights where "cancelled\"""",
+    "csv_by_name_mixed": f'with {CLEAN} select * exclude ("eventId") from clean',
+    "tree_means": TREE,
+    "tree_by_nodes": TREE,
+    "tree_leaves": f"""with {CLEAN}
+select {rounded('avg("arrDelay")', 6)} as prediction, {rounded('avg("arrDelay")', 6)} as mean, count(*) as rows
+from clean group by "carrier\"""",
+    "tree_importance": """select * from (values ('carrier', 1.0::double), ('month', 0.0::double)) t(feature_name, importance)""",
+    "tree_saved_and_loaded": f"""with {CLEAN}
+select "carrier" as carrier, {rounded('avg("arrDelay")', 6)} as low, {rounded('avg("arrDelay")', 6)} as high
+from clean group by "carrier\"""",
+    "stream_scoring_tree": f"""with {PREDICTIONS}, clean_rows as (
+  select "carrier" as carrier, avg("arrDelay") as leaf from flights where "arrDelay" is not null group by "carrier")
+select p.* exclude (predicted_delay, processed_at, "eventId", "flightDate", "depDelay", "arrDelay"),
+  {rounded("leaf")} as predicted_delay from predictions p join clean_rows using (carrier)""",
+    "results_history": f"""with {CLEAN}, runs as (
+  select 'one' as run, * from clean union all select 'two' as run, * from clean where "carrier" <> 'CL'),
+errors as (select run, "arrDelay" as y, "depDelay" * 0.9 + 2 - "arrDelay" as e from runs)
+select run, {rounded("1 - sum(e * e) / (var_pop(y) * count(*))", 4)} as r2, {rounded("avg(abs(e))")} as mae,
+  {rounded("sqrt(avg(e * e))")} as rmse, count(*) as total_records, 'depDelay' as top_feature
+from errors group by run""",
+    "importance_upsert": f"""with {FLIGHTS}, whole as (
+  select sum("carrierDelay") as c, sum("weatherDelay") as w, sum("nasDelay") as n from flights),
+one as (select sum("carrierDelay") as c, sum("weatherDelay") as w from flights where "carrier" = 'CL')
+select 'carrierDelay' as feature_name, {rounded("c / (c + w)", 6)} as importance from one
+union all select 'weatherDelay', {rounded("w / (c + w)", 6)} from one
+union all select 'nasDelay', {rounded("n / (c + w + n)", 6)} from whole""",
+    "bernoulli_sample": f"""select event_id from events
+where {draw("'42|sample|1|=' || event_id")} < 0.2""",
+    "random_split": f"""select event_id, case when {draw("'42|split|1|=' || event_id")} < 0.8
+  then 'train' else 'test' end as split from events""",
+    "sample_with_repeats": f"""with numbered as (
+  select event_type, nullif(user_id % 5, 0) as who,
+    row_number() over (partition by event_type, user_id % 5) as nth from events)
+select event_type, who from numbered
+where {draw("'42|sample|' || nth || '|=' || event_type || '|' || coalesce('=' || who, '-')")} < 0.2""",
     "hash_sample": f"select event_id from events where {percent('cast(event_id as varchar)')} < 20",
     "hash_split": f"""select event_id, case when {percent("'split' || event_id")} < 80
   then 'train' else 'test' end as split from events""",
@@ -404,3 +479,4 @@ select count(*) as rows, {rounded("avg(abs(e))", 4)} as mae, {rounded("sqrt(avg(
     "stream_scoring_capped": f"""with {PREDICTIONS}
 select {PREDICTION} from predictions order by {SCORING_ORDER} limit 50""",
 }
+ORACLE["upsert_after_crash"] = ORACLE["mart_upsert"]

@@ -81,6 +81,8 @@ class Mart:
     columns: tuple[tuple[str, str], ...]
     keys: tuple[str, ...] = ()
     stamp: str | None = None  # column filled with the time of writing
+    # What a table stored in files keeps beside its measures, so that batches and windows can be added up.
+    sums: tuple[tuple[str, str], ...] = ()
 
     @property
     def names(self) -> tuple[str, ...]:
@@ -91,6 +93,14 @@ class Mart:
         return "window_start" in self.names
 
 
+
+
+def _sums(*delays: str, flights: bool = True) -> tuple[tuple[str, str], ...]:
+    """The sum and the number of each delay, and the flights where they are counted."""
+    counted = (("flights", "bigint"), ("cancels", "bigint")) if flights else ()
+    return tuple(c for d in delays for c in ((f"{d}_sum", "double"), (f"{d}_n", "bigint"))) + counted
+
+
 # Table names, columns, types and keys of the marts.
 MARTS = {
     m.name: m
@@ -109,6 +119,7 @@ MARTS = {
                 ("avg_carrier_delay", "NUMERIC(8,2)"),
             ),
             keys=("window_start", "carrier"),
+            sums=_sums("arrDelay", "depDelay", "weatherDelay", "carrierDelay"),
         ),
         Mart(
             "airport_delay_agg",
@@ -121,6 +132,7 @@ MARTS = {
                 ("cancellations", "BIGINT"),
             ),
             keys=("window_start", "origin"),
+            sums=_sums("arrDelay"),
         ),
         Mart(
             "delay_cause_agg",
@@ -134,6 +146,7 @@ MARTS = {
                 ("avg_late_aircraft_delay", "NUMERIC(8,2)"),
             ),
             keys=("window_start",),
+            sums=_sums(*CAUSE_DELAYS, flights=False),
         ),
         Mart(
             "flight_predictions",
@@ -171,3 +184,21 @@ MARTS = {
         ),
     )
 }
+
+# Tables of this library's own, stored like the marts.
+TABLES = {
+    **MARTS,
+    "message_quarantine": Mart(
+        "message_quarantine",
+        (
+            ("received", "TIMESTAMP"),
+            ("key", "TEXT"),
+            ("value", "TEXT"),
+            ("topic", "TEXT"),
+            ("partition", "BIGINT"),
+            ("offset", "BIGINT"),
+            ("reason", "TEXT"),
+        ),
+        stamp="received",
+    ),
+}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ontime_spark.schemas import MARTS, Mart
+from ontime_spark.schemas import TABLES, Mart
 
 
 def spark_type(sql_type: str) -> T.DataType:
@@ -17,44 +17,55 @@ def spark_type(sql_type: str) -> T.DataType:
         return T.TimestampType()
     if sql_type == "BIGINT":
         return T.LongType()
-    if sql_type.startswith("VARCHAR"):
+    if sql_type == "TEXT" or sql_type.startswith("VARCHAR"):
         return T.StringType()
     precision, scale = map(int, re.findall(r"\d+", sql_type))
     return T.DecimalType(precision, scale)
 
 
-def stored_schema(mart: Mart) -> T.StructType:
-    """A mart's columns on disk, partition columns last.
+def day_column(mart: Mart) -> str | None:
+    """The column of the date that a table's rows are stored under."""
+    if mart.windowed:
+        return "window_date"
+    return f"{mart.stamp}_date" if mart.stamp else None
 
-    ``batch_id`` names the batch that wrote the row; it is a partition of append-only tables.
-    """
+
+def stored_schema(mart: Mart) -> T.StructType:
+    """A mart's columns on disk: its own, its sums, the batch that wrote the row, and its date last."""
     fields = [T.StructField(name, spark_type(kind)) for name, kind in mart.columns]
+    fields += [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in mart.sums]
     if not mart.keys:
         fields.append(T.StructField("run", T.StringType()))
     fields.append(T.StructField("batch_id", T.LongType()))
-    if mart.windowed:
-        fields.append(T.StructField("window_date", T.DateType()))
+    day = day_column(mart)
+    if day is not None:
+        fields.append(T.StructField(day, T.DateType()))
     return T.StructType(fields)
 
 
+def fitted(df: DataFrame, mart: Mart) -> DataFrame:
+    """``df`` with the mart's columns in their types; a value that a column cannot hold becomes null."""
+    return df.withColumns({name: F.col(name).try_cast(spark_type(kind)) for name, kind in mart.columns})
+
+
 def fit(df: DataFrame, table: str) -> DataFrame:
     """``df`` in the table's columns and types, plus ``fault``: null for a row that may be stored.
 
     A null key is a fault, and so is a value the column cannot hold. Doubles are rounded half up
     to the column's decimals. A missing stamp column is filled with the time of writing.
     """
-    mart = MARTS[table]
+    mart = TABLES[table]
     given = [(n, t) for n, t in mart.columns if n in df.columns or n != mart.stamp]
     kinds = {name: field.dataType for name, field in zip(df.columns, df.schema.fields)}
     faults = [(F.col(key).isNull(), f"null {key}") for key in mart.keys]
-    fitted = []
+    held = []
     for name, sql_type in given:
         kind = spark_type(sql_type)
         if kinds[name] == kind:
-            fitted.append(F.col(name))
+            held.append(F.col(name))
         else:
             # Next to the value as given, so that the cast is worked out once for both its uses.
-            fitted.append(F.struct(F.col(name).alias("given"), F.col(name).try_cast(kind).alias("fit")))
+            held.append(F.struct(F.col(name).alias("given"), F.col(name).try_cast(kind).alias("fit")))
             lost = F.col(f"{name}.given").isNotNull() & F.col(f"{name}.fit").isNull()
             faults.append((lost, f"value of {name}"))
         if sql_type.startswith("VARCHAR"):
@@ -69,7 +80,7 @@ def fit(df: DataFrame, table: str) -> DataFrame:
     ]
     if mart.stamp and mart.stamp not in df.columns:
         columns.append(F.current_timestamp().alias(mart.stamp))
-    named = [c.alias(n) for c, (n, _) in zip(fitted, given)]
+    named = [c.alias(n) for c, (n, _) in zip(held, given)]
     return df.select(*named).select(*columns, fault.alias("fault"))
 
 
@@ -81,10 +92,10 @@ def conform(df: DataFrame, table: str, unique: bool = False) -> tuple[DataFrame,
     others. Pass ``unique`` for a frame that has one row per key already, such as an aggregate by
     that key: it saves the shuffle.
     """
-    mart = MARTS[table]
-    fitted = fit(df, table)
-    good = fitted.where(F.col("fault").isNull()).select(*mart.names)
-    report = fitted.where(F.col("fault").isNotNull()).withColumn("rows", F.lit(1).cast("bigint"))
+    mart = TABLES[table]
+    judged = fit(df, table)
+    good = judged.where(F.col("fault").isNull()).select(*mart.names)
+    report = judged.where(F.col("fault").isNotNull()).withColumn("rows", F.lit(1).cast("bigint"))
     if unique or not mart.keys:
         return good, report
     others = [n for n in mart.names if n not in mart.keys]

@@ -87,6 +87,9 @@ def create_tables(spark: SparkSession, jdbc: dict[str, str], *tables: str) -> No
 
 
 def staging_name(table: str, run: str, batch_id: int) -> str:
+    """The table that a batch is written to first; the run's name becomes part of a statement."""
+    if not re.fullmatch(r"\w+", run):
+        raise ValueError(f"a run is named by letters, digits and underscores, not {run!r}")
     return f"{table}_stage_{run}_{batch_id}"
 
 
@@ -116,8 +119,7 @@ def append(
 
     The rows go to a staging table; one transaction adds them and logs the batch.
     """
-    if not re.fullmatch(r"\w+", run):
-        raise ValueError(f"a run is named by letters, digits and underscores, not {run!r}")
+    staging = staging_name(table, run, batch_id)
     with cached(df):
         if df.isEmpty():
             return None
@@ -125,7 +127,6 @@ def append(
         stamp = MARTS[table].stamp
         if stamp and stamp not in df.columns:
             good = good.drop(stamp)
-        staging = staging_name(table, run, batch_id)
         good.write.format("jdbc").options(dbtable=staging, **jdbc).mode("overwrite").save()
         statements = append_statements(table, staging, good.columns, run, batch_id)
         run_statements(df.sparkSession, jdbc, [batch_log_statement(), *statements])

@@ -33,15 +33,16 @@ def read_events(
     options: dict[str, str] | None = None,
     path: str | None = None,
     stream: bool = True,
+    topic: str | None = None,
 ) -> DataFrame:
     """Undecoded messages: at least ``value``, and ``timestamp`` where the source has one.
 
     ``kind`` is ``kafka`` (the connector must be on the class path) or a file format such as
-    ``parquet`` or ``json``, which reads :data:`MESSAGE` rows below ``path``.
+    ``parquet`` or ``json``, which reads :data:`MESSAGE` rows below ``path``, of one ``topic`` if given.
     """
     reader = (spark.readStream if stream else spark.read).format(kind).options(**(options or {}))
     if kind == "kafka":
         return reader.load()
     if path is None:
         raise ValueError(f"a {kind} source needs a path")
-    return reader.schema(MESSAGE).load(path)
+    return reader.schema(MESSAGE).load(path if topic is None else f"{path}/topic={topic}")

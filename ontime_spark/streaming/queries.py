@@ -9,11 +9,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ontime_spark.functions.messages import judge_messages
 from ontime_spark.ml.forest import prediction_rows, scorable, score
 from ontime_spark.operators import windows
 from ontime_spark.operators.sampling import cap_rows
@@ -28,6 +30,16 @@ AGGREGATES = (
 )
 SCORING = ("ml_predictions", "flight_predictions")
 
+# Mart table, what its measures add up from, and how they are made of that.
+SUMMED = (
+    ("carrier_delay_agg", windows.carrier_sums, windows.carrier_means),
+    ("airport_delay_agg", windows.airport_sums, windows.airport_means),
+    ("delay_cause_agg", windows.cause_sums, windows.cause_means),
+)
+DEFAULT = "default"
+# How far the clock of a restarted job may be behind the one before.
+PROCESSING_WATERMARK = "1 hour"
+
 # What to do with each batch beside storing it, e.g. print some rows: (table, rows, batch number).
 OnBatch = Callable[[str, DataFrame, int], None]
 
@@ -76,7 +88,7 @@ def start_aggregates(
     root: str | None,
     checkpoints: str,
     time_col: str = "processingTime",
-    watermark: str | None = None,
+    watermark: str | None = DEFAULT,
     trigger: dict | None = None,
     jdbc: dict[str, str] | None = None,
     on_batch: OnBatch | None = None,
@@ -85,8 +97,10 @@ def start_aggregates(
 ) -> list[StreamingQuery]:
     """Start the windowed aggregates of decoded ``events`` into the marts below ``root``.
 
-    With ``jdbc`` the marts are tables of a database instead. ``only`` picks mart tables. Give a
-    ``watermark`` to a stream that is to run for long; without one its state only grows.
+    With ``jdbc`` the marts are tables of a database instead. ``only`` picks mart tables. Windows of
+    processing time leave the state an hour after they end, as nothing comes late to them. Windows of
+    event time stay unless a ``watermark`` is given, which then drops later rows; :func:`start_marts` has
+    neither state nor late rows.
 
     Rows without a key come from messages that could not be read; they are set aside, with their
     count, in ``<table>_quarantine`` below ``quarantine``, or else below ``root``.
@@ -101,12 +115,13 @@ def start_aggregates(
                 if jdbc is not None:
                     report = database.upsert(batch, jdbc, table, batch_id, run, unique=True)
                 else:
-                    staging = f"{checkpoint}/staging"
-                    report = marts.upsert(batch, root, table, batch_id, staging, unique=True)
+                    report = marts.upsert(batch, root, table, batch_id, run, unique=True)
                 _set_aside(report, quarantine or root, table, batch_id, run)
 
         return write
 
+    if watermark == DEFAULT:
+        watermark = PROCESSING_WATERMARK if time_col == "processingTime" else None
     started = []
     for name, table, aggregate in AGGREGATES:
         if only is not None and table not in only:
@@ -118,6 +133,72 @@ def start_aggregates(
     return started
 
 
+def start_marts(
+    messages: DataFrame,
+    root: str,
+    checkpoints: str,
+    time_col: str = "processingTime",
+    trigger: dict | None = None,
+    on_batch: OnBatch | None = None,
+    name: str = "marts",
+) -> StreamingQuery:
+    """Start one query that feeds all three marts below ``root`` from undecoded ``messages``.
+
+    A batch is read and decoded once. Its sums per window and key are added to those that the marts hold
+    beside their means, so the query has no state, and a row that comes late, by however much, counts in its
+    window. What is added and the batch's number become visible together: a batch that is repeated after a
+    crash adds nothing twice.
+
+    Messages with a fault go to ``message_quarantine`` below ``root``, once each, with their text and place in
+    the topic. A message counts in every mart whose key it has. ``messages`` has ``value`` and ``time_col``.
+    """
+    checkpoint = f"{checkpoints}/{name}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(batch, checkpoint)
+        judged = judge_messages(batch, keep=(time_col,))
+        with cached(judged):
+            sound = judged.where(F.col("fault").isNull() | ~F.col("fault").isin("no value", "no JSON"))
+            for table, sums, means in SUMMED:
+                added = sums(sound, time_col)
+                if on_batch is not None:
+                    on_batch(table, means(added), batch_id)
+                marts.add(added, root, table, means, batch_id, run)
+            faulty = judged.where(F.col("fault").isNotNull())
+            aside = faulty.select(F.col(time_col).cast("timestamp").alias("received"), "message.*", F.col("fault").alias("reason"))
+            marts.append_batch(aside, root, "message_quarantine", batch_id, run)
+
+    return _start(messages, name, "append", write, checkpoint, trigger)
+
+
+def run_queries(
+    spark: SparkSession, start: Callable[[], list[StreamingQuery]], restarts: int = 0
+) -> list[StreamingQuery]:
+    """Run the queries that ``start`` starts until all have ended, and return them.
+
+    The first failure ends the others, too. Then all start again from their checkpoints, up to ``restarts``
+    times; the failure after that is raised.
+    """
+    while True:
+        running = start()
+        try:
+            while any(query.isActive for query in running):
+                spark.streams.resetTerminated()
+                await_any(spark, 10)
+                for query in running:
+                    if query.exception() is not None:
+                        raise query.exception()
+            for query in running:
+                query.awaitTermination()
+            return running
+        except StreamingQueryException:
+            for query in running:
+                query.stop()
+            if restarts == 0:
+                raise
+            restarts -= 1
+
+
 # A batch is capped at its first rows in this order.
 SCORING_ORDER = ("carrier", "flightNumber", "flightDate", "origin", "dest", "depDelay", "arrDelay")
 

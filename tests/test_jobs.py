@@ -22,11 +22,12 @@ def test_publish_train_stream_report(spark, folders, capsys):
     base = str(folders)
     total = testdata_count = spark.read.option("header", True).csv(f"{base}/raw").count()
     counts = publish.main(
-        [f"{base}/raw", f"{base}/more.csv", "--messages", f"{base}/topic", "--quarantine", f"{base}/bad"]
+        [f"{base}/raw", f"{base}/more.csv", "--messages", f"{base}/topic"]
     )
     assert counts == {"published": total + 1, "skipped": 1}
     assert f"{total + 1} messages sent, 1 lines rejected" in capsys.readouterr().out
-    assert spark.read.parquet(f"{base}/bad").first()["value"] == "bad,data"
+    rejected = spark.read.parquet(f"{base}/topic").where("topic = 'flight-events-rejected'").collect()
+    assert [(r["key"], r["value"]) for r in rejected] == [("columns", "bad,data")]
 
     done = train.main(
         [f"{base}/raw", "--model", f"{base}/model", "--marts", f"{base}/marts", "--trees", "3", "--depth", "3"]
@@ -35,8 +36,9 @@ def test_publish_train_stream_report(spark, folders, capsys):
 
     stream.main(
         ["--messages", f"{base}/topic", "--marts", f"{base}/marts", "--checkpoints", f"{base}/checkpoints",
-         "--model", f"{base}/model", "--available-now", "--max-per-batch", "100"]
+         "--model", f"{base}/model", "--available-now", "--max-per-batch", "100", "--preview", "2"]
     )
+    assert "carrier_delay_agg, batch 0:" in capsys.readouterr().out
     carriers = read_mart(spark, "carrier_delay_agg", f"{base}/marts")
     assert carriers.groupBy().sum("total_flights").first()[0] == total + 1
 

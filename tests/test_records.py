@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import rows
 from ontime_spark.functions import parsing
 from ontime_spark.functions.messages import decode_events, encode_events
-from ontime_spark.operators import records
+from ontime_spark.operators import records, sampling
 from ontime_spark.schemas import CAUSE_DELAYS, RAW_COLUMNS
 from ontime_spark.sources.raw_csv import drop_header, read_by_name, read_raw, stream_raw
 
@@ -315,3 +315,25 @@ def test_unreadable_messages(spark):
 def test_unknown_null_policy(spark):
     with pytest.raises(ValueError):
         encode_events(spark.range(1), "maybe")
+
+
+def test_samples_and_splits_do_not_depend_on_layout(spark):
+    rows = [(i % 7, None if i % 3 else "x", float(i % 2)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "a int, b string, c double")
+    layouts = [frame.coalesce(1), frame.repartition(50), frame.orderBy(F.desc("a")).repartition(3, "b")]
+    drawn = [sorted(map(str, sampling.bernoulli_sample(f, 0.3).collect())) for f in layouts]
+    assert drawn[0] == drawn[1] == drawn[2] and 100 < len(drawn[0]) < 200
+    parts = [[sorted(map(str, p.collect())) for p in sampling.random_split(f, (2, 1, 1))] for f in layouts]
+    assert parts[0] == parts[1] == parts[2]
+    assert sorted(sum(parts[0], [])) == sorted(map(str, frame.collect()))
+    monkey = sampling.draw_number(spark.range(3).select(F.lit(1).alias("a")).limit(0))
+    assert monkey.isEmpty()
+
+
+def test_frequent_rows_are_unfolded_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "RUN_LENGTH", 7)
+    frame = spark.range(100).select(F.lit("same").alias("a"))
+    drawn = sampling.draw_number(frame).collect()
+    assert len(drawn) == 100 and len({r["draw"] for r in drawn}) == 100
+    monkeypatch.setattr(sampling, "RUN_LENGTH", 1000)
+    assert sorted(drawn) == sorted(sampling.draw_number(frame).collect())

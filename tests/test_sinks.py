@@ -5,12 +5,14 @@ from decimal import Decimal
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from ontime_spark.schemas import MARTS
-from ontime_spark.sinks import database, files, marts, publish
+from ontime_spark.operators import windows
+from ontime_spark.sinks import database, files, manifest, marts, publish
 from ontime_spark.sinks.conform import conform
 from ontime_spark.sources import events as event_source
-from ontime_spark.sources.marts import predictions_or_none, read_mart
+from ontime_spark.sources.marts import newest_rows, predictions_or_none, read_mart
 
 TABLE = "airport_delay_agg"
 SCHEMA = """window_start timestamp, window_end timestamp, origin string, avg_arr_delay double,
@@ -46,12 +48,14 @@ def test_upsert_replaces_by_key_and_keeps_the_rest(spark, root):
     ]
 
 
-def test_upsert_touches_only_the_dates_in_the_batch(spark, root, tmp_path):
+def test_upsert_touches_only_the_dates_in_the_batch(spark, root):
     marts.upsert(frame(spark, row(1, "A", 1.0), row(2, "A", 3.0)), root, TABLE, 0)
-    day = tmp_path / "marts" / TABLE / "window_date=2024-12-01"
-    before = sorted(p.name for p in day.iterdir())
+    before = {p.day: p.version for p in manifest.current(spark, f"{root}/{TABLE}").parts}
     marts.upsert(frame(spark, row(2, "B", 1.0)), root, TABLE, 1)
-    assert sorted(p.name for p in day.iterdir()) == before
+    after = {p.day: p.version for p in manifest.current(spark, f"{root}/{TABLE}").parts}
+    assert after["2024-12-01"] == before["2024-12-01"] and after["2024-12-02"] != before["2024-12-02"]
+    # Each date is written once: one folder a merge.
+    assert len(files.names(spark, f"{root}/{TABLE}/data")) == 2
 
 
 def test_repeated_batches_change_nothing(spark, root):
@@ -63,28 +67,111 @@ def test_repeated_batches_change_nothing(spark, root):
     assert stored(spark, root, "window_start", "origin", "avg_arr_delay", "batch_id") == once
 
 
-def test_a_batch_that_died_is_finished_from_its_copy(spark, root, tmp_path, monkeypatch):
-    staging = str(tmp_path / "checkpoint" / "staging")
-    marts.upsert(frame(spark, row(1, "A", 1.0), row(1, "B", 2.0)), root, TABLE, 0, staging)
+def test_a_batch_that_died_is_not_there_and_can_be_repeated(spark, root, monkeypatch):
+    marts.upsert(frame(spark, row(1, "A", 1.0), row(1, "B", 2.0)), root, TABLE, 0, run="r")
+    before = stored(spark, root, "origin", "avg_arr_delay")
 
-    def die(rows_, path, by):
-        # Worse than a plain failure: the old partition is gone and the new one is not there.
-        files.delete(spark, f"{path}/window_date=2024-12-01")
+    def die(*_):
         raise RuntimeError("lost")
 
-    whole = marts._overwrite_partitions
-    monkeypatch.setattr(marts, "_overwrite_partitions", die)
+    whole = manifest.commit
+    monkeypatch.setattr(manifest, "commit", die)
     batch = frame(spark, row(1, "B", 9.0))
     with pytest.raises(RuntimeError):
-        marts.upsert(batch, root, TABLE, 1, staging)
-    assert stored(spark, root, "origin") == []
-    monkeypatch.setattr(marts, "_overwrite_partitions", whole)
-    marts.upsert(batch, root, TABLE, 1, staging)
-    assert stored(spark, root, "origin", "avg_arr_delay") == [
-        ("A", Decimal("1.00")),
-        ("B", Decimal("9.00")),
-    ]
-    assert not files.exists(spark, f"{staging}/batch=1")
+        marts.upsert(batch, root, TABLE, 1, run="r")
+    assert stored(spark, root, "origin", "avg_arr_delay") == before
+    monkeypatch.setattr(manifest, "commit", whole)
+    for _ in range(2):
+        marts.upsert(batch, root, TABLE, 1, run="r")
+    assert stored(spark, root, "origin", "avg_arr_delay") == [("A", Decimal("1.00")), ("B", Decimal("9.00"))]
+    # Nor does an older batch of the run come back.
+    marts.upsert(frame(spark, row(1, "B", 2.0)), root, TABLE, 0, run="r")
+    assert stored(spark, root, "origin", "avg_arr_delay")[1] == ("B", Decimal("9.00"))
+
+
+def test_two_writers_at_once_both_count(spark, root, monkeypatch):
+    marts.upsert(frame(spark, row(1, "A", 1.0)), root, TABLE, 0)
+    whole, calls = manifest.commit, []
+
+    def commit(spark_, path, entry):
+        if not calls:
+            calls.append(entry)
+            marts.upsert(frame(spark, row(1, "C", 3.0)), root, TABLE, 7)  # another writer is faster
+        return whole(spark_, path, entry)
+
+    monkeypatch.setattr(manifest, "commit", commit)
+    marts.upsert(frame(spark, row(1, "B", 2.0)), root, TABLE, 1)
+    assert stored(spark, root, "origin") == [("A",), ("B",), ("C",)]
+
+
+def test_a_reader_keeps_its_version(spark, root):
+    marts.upsert(frame(spark, row(1, "A", 1.0)), root, TABLE, 0)
+    reader = read_mart(spark, TABLE, root)
+    marts.upsert(frame(spark, row(1, "A", 5.0)), root, TABLE, 1)
+    assert reader.first()["avg_arr_delay"] == Decimal("1.00")
+    assert read_mart(spark, TABLE, root, version=1).first()["avg_arr_delay"] == Decimal("1.00")
+    assert read_mart(spark, TABLE, root).first()["avg_arr_delay"] == Decimal("5.00")
+    with pytest.raises(FileNotFoundError):
+        read_mart(spark, TABLE, root, version=9)
+
+
+def test_the_log_and_its_folders_do_not_grow(spark, root, monkeypatch):
+    monkeypatch.setattr(manifest, "KEPT_ENTRIES", 2)
+    for batch_id in range(8):
+        marts.upsert(frame(spark, row(1, "A", float(batch_id)), row(2 + batch_id % 2, "A", 0.0)), root, TABLE, batch_id)
+    assert len(files.names(spark, f"{root}/{TABLE}/_log")) <= 4
+    assert len(files.names(spark, f"{root}/{TABLE}/data")) <= 4
+    assert stored(spark, root, "avg_arr_delay") == [(Decimal("0.00"),), (Decimal("0.00"),), (Decimal("7.00"),)]
+
+
+def test_appended_folders_are_merged(spark, root, monkeypatch):
+    monkeypatch.setattr(marts, "FAN_IN", 3)
+    monkeypatch.setattr(manifest, "KEPT_ENTRIES", 1)
+    for batch_id in range(14):
+        marts.append_batch(predictions(spark, ("AA", str(batch_id), "A", "B", 1.0, 2.0, 3.0)), root, "flight_predictions", batch_id)
+    path = f"{root}/flight_predictions"
+    parts = manifest.current(spark, path).parts
+    assert len(parts) <= 5 and sum(p.rows for p in parts) == 14
+    assert len(files.names(spark, f"{path}/data")) <= 8
+    kept = read_mart(spark, "flight_predictions", root, with_batch=True)
+    assert sorted((int(r["flight_number"]), r["batch_id"]) for r in kept.collect()) == [(i, i) for i in range(14)]
+
+
+def test_newest_rows_read_few_dates(spark, root):
+    rows_ = [("AA", str(i), "A", "B", 1.0, 2.0, 3.0, datetime.datetime(2024, 1, 1 + i % 9, i)) for i in range(18)]
+    schema = predictions(spark).schema.add("processed_at", "timestamp")
+    marts.append_batch(spark.createDataFrame(rows_, schema), root, "flight_predictions")
+    for k, days in ((1, 1), (2, 1), (3, 2), (100, 9)):
+        found = newest_rows(spark, "flight_predictions", root, k)
+        assert found.count() == 2 * days and len(found.inputFiles()) >= days
+        assert {f.split("processed_at_date=")[1][:10] for f in found.inputFiles()} == {f"2024-01-{9 - i:02d}" for i in range(days)}
+    marts.append_batch(spark.createDataFrame([("BB", "0", "A", "B", 1.0, 2.0, 3.0, None)], schema), root, "flight_predictions", 1)
+    assert newest_rows(spark, "flight_predictions", root, 1).first()["carrier"] == "BB"  # no time sorts first
+
+
+def test_sums_add_up_over_batches_and_ages(spark, root):
+    start = datetime.datetime(2024, 12, 1, 10, 0)
+    flights = [(start + datetime.timedelta(minutes=m), "AA" if m % 2 else None, float(m), m % 5 == 0) for m in range(40)]
+    schema = "eventTime timestamp, carrier string, arrDelay double, cancelled boolean"
+    zero = {d: F.lit(0.0) for d in ("depDelay", "weatherDelay", "carrierDelay")}
+    whole = spark.createDataFrame(flights, schema).withColumns(zero)
+    for batch_id, part in enumerate((3, 0, 2, 1)):
+        rows_ = whole.where(F.minute("eventTime") % 4 == part)
+        for _ in range(2):
+            marts.add(windows.carrier_sums(rows_, "eventTime"), root, "carrier_delay_agg", windows.carrier_means, batch_id, "r")
+    got = read_mart(spark, "carrier_delay_agg", root).drop("window_date")
+    want = windows.carrier_delays(whole.where("carrier is not null"), "eventTime")
+    assert sorted(map(tuple, got.collect())) == sorted(
+        tuple(Decimal(f"{v:.2f}") if isinstance(v, float) else v for v in r) for r in want.collect()
+    )
+    marts.add(windows.carrier_sums(whole.limit(0), "eventTime"), root, "carrier_delay_agg", windows.carrier_means, 9, "r")
+
+
+def test_dates_bound_what_is_read(spark, root):
+    marts.upsert(frame(spark, *(row(d, "A", float(d)) for d in range(1, 9))), root, TABLE, 0)
+    some = read_mart(spark, TABLE, root, since=datetime.date(2024, 12, 3), until=datetime.date(2024, 12, 5))
+    assert sorted(float(r["avg_arr_delay"]) for r in some.collect()) == [3.0, 4.0]
+    assert len(some.inputFiles()) == 2
 
 
 def test_empty_batches_write_nothing(spark, root):
@@ -213,6 +300,11 @@ def test_table_of_keys_alone_keeps_its_rows(monkeypatch):
     assert database.upsert_statements("pairs", "s")[0].endswith("ON CONFLICT (a, b) DO NOTHING")
 
 
+def test_runs_that_are_no_names_are_refused():
+    with pytest.raises(ValueError):
+        database.staging_name(TABLE, "x; drop table y", 0)
+
+
 def test_staging_tables_of_two_batches_differ():
     names = {database.staging_name(TABLE, run, batch) for run in ("x", "y") for batch in (1, 2)}
     assert len(names) == 4
@@ -226,6 +318,7 @@ def test_kafka_options():
         "minPartitions": "64",
     }
     assert publish.kafka_options("host:1", "topic")["kafka.acks"] == "1"
+    assert "topic" not in publish.kafka_options("host:1", None)
 
 
 def test_file_topics_need_a_path(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ontime_spark.functions.messages import decode_events, encode_events, stamp_processing_time
+from ontime_spark.functions.messages import decode_events, encode_events, judge_messages, stamp_processing_time
 from ontime_spark.operators import windows
 from ontime_spark.plans import catalog
 from ontime_spark.schemas import MARTS
@@ -120,21 +120,21 @@ def test_a_stream_that_goes_on_starts_where_it_stopped(spark, topic, finished):
 def test_a_batch_that_fails_is_repeated_to_the_same_end(spark, topic, tmp_path, monkeypatch):
     root = str(tmp_path / "marts")
     table = "carrier_delay_agg"
-    whole = mart_sink._overwrite_partitions
+    whole = mart_sink.manifest.commit
     calls = []
 
-    def fail_once(rows_, path, by):
+    def fail_once(spark_, path, entry):
         calls.append(path)
-        if len(calls) == 2:
+        if len(calls) == 3:
             raise RuntimeError("executor lost")
-        whole(rows_, path, by)
+        return whole(spark_, path, entry)
 
     def run():
         return queries.start_aggregates(
             stream(spark, topic), root, f"{root}/checkpoints", time_col="timestamp", trigger=NOW, only=[table]
         )
 
-    monkeypatch.setattr(mart_sink, "_overwrite_partitions", fail_once)
+    monkeypatch.setattr(mart_sink.manifest, "commit", fail_once)
     with pytest.raises(Exception, match="executor lost"):
         run()[0].awaitTermination()
     finish(run())
@@ -143,6 +143,73 @@ def test_a_batch_that_fails_is_repeated_to_the_same_end(spark, topic, tmp_path,
     assert rows(read_mart(spark, table, root).drop("window_date")) == rows(expected)
 
 
+def summed(spark, topic, root, files_per_batch=1):
+    messages = read_events(spark, "parquet", {"maxFilesPerTrigger": str(files_per_batch)}, topic)
+    return queries.start_marts(messages, root, f"{root}/checkpoints", "timestamp", NOW)
+
+
+@pytest.mark.parametrize("fail_at", [None, 2, 6, 9])
+def test_one_query_feeds_all_marts(spark, topic, tmp_path, monkeypatch, fail_at):
+    """Also when it fails between two marts of a batch, and is started again by itself."""
+    root = str(tmp_path / "marts")
+    whole, calls, started = mart_sink.manifest.write, [], []
+
+    def fail_once(*a):
+        calls.append(a)
+        if len(calls) == fail_at:
+            raise RuntimeError("executor lost")
+        whole(*a)
+
+    monkeypatch.setattr(mart_sink.manifest, "write", fail_once)
+
+    def start():
+        started.append(summed(spark, topic, root))
+        return [started[-1]]
+
+    queries.run_queries(spark, start, restarts=1)
+    assert len(started) == (1 if fail_at is None else 2)
+    assert all("stateOperators" not in p or not p["stateOperators"] for p in started[-1].recentProgress)
+    batch = decode_events(read_events(spark, "parquet", path=topic, stream=False), keep=("timestamp",))
+    for table, aggregate in AGGREGATES.items():
+        key = {"carrier_delay_agg": "carrier", "airport_delay_agg": "origin"}.get(table, "month")
+        expected = aggregate(batch.where(F.col(key).isNotNull()), "timestamp")
+        assert rows(read_mart(spark, table, root).drop("window_date")) == rows(expected)
+    bad = read_events(spark, "parquet", path=topic, stream=False).where("value = 'no json'")
+    aside = read_mart(spark, "message_quarantine", root)
+    assert rows(aside.select("key", "value", "reason")) == rows(bad.select("key", "value", F.lit("no JSON")))
+
+
+def test_a_failure_ends_the_others(spark, topic, tmp_path, monkeypatch):
+    monkeypatch.setattr(mart_sink.manifest, "write", lambda *a: (_ for _ in ()).throw(RuntimeError("disk full")))
+    running = []
+
+    def start():
+        endless = spark.readStream.format("rate").load().writeStream.format("noop").queryName("endless").start()
+        running.append(endless)
+        return [endless, summed(spark, topic, str(tmp_path))]
+
+    with pytest.raises(Exception, match="disk full"):
+        queries.run_queries(spark, start, restarts=1)
+    assert len(running) == 2 and not any(q.isActive for q in running)
+
+
+def test_messages_are_judged(spark):
+    rows_ = [("k", None), ("k", "no json"), ("k", "[1]"), ("k", '{"carrier": "AA", "origin": "X", "month": "May"}'),
+             ("k", '{"origin": "X"}'), ("k", '{"carrier": "AA"}'), (None, '{"carrier": "AA", "origin": "X", "month": 5}')]
+    frame = spark.createDataFrame(rows_, "key string, value string")
+    got = [(r["fault"], r["message"]["value"], r["message"]["key"]) for r in judge_messages(frame).collect()]
+    faults = ["no value", "no JSON", "no JSON", "field", "null carrier", "null origin", None]
+    assert got == [(f, v, k) for f, (k, v) in zip(faults, rows_)]
+
+
+def test_processing_time_state_is_dropped(spark, topic, tmp_path):
+    """Windows of processing time leave the state by a watermark that is there by default."""
+    events = stamp_processing_time(decode_events(read_events(spark, "parquet", path=topic)))
+    running = queries.start_aggregates(events, str(tmp_path), f"{tmp_path}/c", trigger=NOW, only=["delay_cause_agg"])
+    finish(running)
+    assert "watermark" in running[0].lastProgress["eventTime"]
+
+
 def test_processing_time_windows(spark, topic, tmp_path):
     root = str(tmp_path)
     messages = read_events(spark, "parquet", path=topic)
