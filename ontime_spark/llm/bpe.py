@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ontime_spark.llm.common import with_arrow
 
-REMEMBERED = 400_000  # pre-tokens a task remembers before it starts anew
+REMEMBERED = 32 << 20  # bytes of pre-tokens and their ids that a task remembers
 FIRST_ID = 1  # sentencepiece needs an unknown piece; it comes before the vocabulary
 
 
@@ -84,6 +84,7 @@ class Codec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(entries))
         self.letters = byte_letters()
         self.known: dict[str, str] = {}  # a pre-token's ids, as decimal numbers joined by blanks
+        self.held = 0
 
     def _learn(self, fresh: list[str], at_once: int = 2000) -> None:
         """Encodes many pre-tokens in one call: a line end is in no piece, so nothing merges across it."""
@@ -95,12 +96,14 @@ class Codec:
             numbers = [str(i) for i in (ids - FIRST_ID).tolist()]
             for token, a, b in zip(part, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)]):
                 self.known[token] = " ".join(numbers[a:b])
+                self.held += 200 + 2 * len(token) + len(self.known[token])
 
     def encode_text(self, text: str) -> str:
         """The ids of ``text`` as decimal numbers joined by blanks."""
         tokens = self.split(text)
-        if len(self.known) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.known.clear()
+            self.held = 0
         known = self.known
         fresh = [t for t in dict.fromkeys(tokens) if t not in known]
         if fresh:

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
+import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +21,9 @@ from pyspark.sql import types as T
 from ontime_spark.sinks import files
 
 CHUNK_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+TIDY_SECONDS = 10.0
+_tidied = 0.0
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -39,9 +46,24 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def _tidy_driver(spark: SparkSession) -> None:
+    """Let the driver forget plans, broadcasts and shuffles of steps that are done, now and then.
+
+    Spark drops these when the driver collects garbage, which a small driver of many steps does too late.
+    """
+    global _tidied
+    if time.monotonic() - _tidied > TIDY_SECONDS:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _give_back()
+        _tidied = time.monotonic()
+
+
+def keep(df: DataFrame, name: str, spent: Sequence[Broadcast] = ()) -> DataFrame:
     """``df`` as a table written to the shared folder and read again, which cuts its lineage.
 
+    ``spent`` are broadcasts that nothing needs once it is written: the executors forget them.
+
     The table belongs to this program and is removed when it ends. What writing it shuffled is removed
     once it is written, so that the disk holds one step's shuffles and not those of all steps so far.
     """
@@ -57,6 +79,9 @@ def keep(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(SHUFFLE_CLEANUP)
         else:
             spark.conf.set(SHUFFLE_CLEANUP, before)
+    for shared in spent:
+        shared.unpersist()
+    _tidy_driver(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -73,6 +98,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _give_back() -> None:
+    """Let the system have what this worker no longer uses; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        return
+
+
+def small(batches: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes or of one row."""
+    for batch in batches:
+        todo = [batch]
+        while todo:
+            part = todo.pop()
+            if part.nbytes > limit and part.num_rows > 1:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
+
+
+def thrifty(mapper: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``mapper`` on small batches, whose task leaves no memory behind."""
+
+    def run(batches):
+        try:
+            yield from mapper(small(batches))
+        finally:
+            _give_back()
+
+    return run
+
+
 def with_arrow(
     df: DataFrame,
     inputs: list[str],
@@ -106,7 +165,7 @@ def with_arrow(
                 [*batch.columns[:n], *arrays], names=[*kept, *[f.name for f in fields]]
             )
 
-    return sent.mapInArrow(apply, schema)
+    return sent.mapInArrow(thrifty(apply), schema)
 
 
 HEAVY = 256
@@ -152,6 +211,10 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+PLACES = 64
+_PLACED = mix64(mix64(np.arange(PLACES << 8, dtype=np.uint64)) + np.uint64(0x9E3779B97F4A7C15))
+
+
 def word_hashes(
     data: np.ndarray, offsets: np.ndarray, letter: np.ndarray, head: int | None = None
 ) -> tuple[np.ndarray, ...]:
@@ -173,8 +236,11 @@ def word_hashes(
         return (np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), np.zeros(0, np.uint64))[: 2 + (head is not None)]
     lengths = np.diff(np.append(starts, len(data)))
     place = np.arange(len(data)) - np.concatenate([np.zeros(starts[0], np.int64), np.repeat(starts, lengths)])
-    powers = np.multiply.accumulate(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
-    value = (data.astype(np.uint64) + np.uint64(1)) * powers[place]
+    # A number of its own for each byte at each place; their sum stands for the word.
+    value = _PLACED[(np.minimum(place, PLACES - 1) << 8) | data]
+    far = np.flatnonzero(inside & (place >= PLACES - 1))
+    if len(far):
+        value[far] = mix64(mix64((place[far].astype(np.uint64) << np.uint64(8)) | data[far]) + np.uint64(0x9E3779B97F4A7C15))
     value[~inside] = 0
     hashes, begin = mix64(np.add.reduceat(value, starts)), np.searchsorted(starts, offsets)
     if head is None:

@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ontime_spark.llm.common import chunks, keep, mix64, with_arrow, word_hashes
+from ontime_spark.llm.common import chunks, keep, mix64, thrifty, with_arrow, word_hashes
 from ontime_spark.llm.links import components
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -68,8 +69,8 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 def rank_table(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
     """How many texts hold an n-gram of each of 2**22 hash buckets, over all texts.
 
-    The table orders n-grams, rare ones first. It has a fixed size (16 MB), and any order gives the
-    same links; each task sends its counts in pages, saturated at 255.
+    The table orders n-grams, rare ones first. It has a fixed size (4 MB: counts above 128 by their
+    logarithm), and any order gives the same links; each task sends its counts in pages, saturated at 255.
     """
     page = 1 << PAGE_BITS
 
@@ -98,12 +99,14 @@ def rank_table(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
             )
 
     schema = "page int, counts binary"
-    pages = docs.select(F.col(f"`{text_col}`")).mapInArrow(count, schema)
-    rows = pages.repartition("page").mapInArrow(add, schema).collect()
+    pages = docs.select(F.col(f"`{text_col}`")).mapInArrow(thrifty(count), schema)
+    rows = pages.repartition("page").mapInArrow(thrifty(add), schema).collect()
     table = np.zeros((1 << RANK_BITS) // page * page, np.uint32).reshape(-1, page)
     for row in rows:  # a fixed number of pages at most
         table[row["page"]] = np.frombuffer(row["counts"], np.uint32)
-    return table.reshape(-1)
+    table = table.reshape(-1)
+    steep = np.minimum(128 + 6 * np.log2(np.maximum(table, 128) / 128), 255)
+    return np.where(table < 128, table, steep).astype(np.uint8)
 
 
 def least_size(n: int, percent: int) -> int:
@@ -121,15 +124,27 @@ class Trie:
     def __init__(self, rows: list[np.ndarray]):
         self.rows = rows
         self.nodes: list[tuple] = []  # leaves lo:hi, members of the run, depth after it, min and max size, children
-        self.root = self._build(0, len(rows), 0)
-
-    def _build(self, lo: int, hi: int, depth: int) -> int:
-        """The node over leaves lo:hi, which share their first ``depth`` members."""
+        # Top down by a stack, so that sets which branch one after another need no deep calls; then bottom up.
+        runs, stack = [], [(0, len(rows), 0)]
+        while stack:
+            lo, hi, depth = stack.pop()
+            runs.append((lo, hi, depth, *self._split(lo, hi, depth)))
+            stack.extend((a, b, runs[-1][3]) for a, b in runs[-1][4])
+        made: dict[tuple[int, int, int], int] = {}
+        sizes = np.array([len(r) for r in rows])
+        for lo, hi, depth, end, children, leaves in reversed(runs):
+            kids = [made[a, b, end] for a, b in children]
+            own = sizes[lo:hi]
+            made[lo, hi, depth] = len(self.nodes)
+            self.nodes.append((lo, hi, rows[lo][depth:end], end, int(own.min()), int(own.max()), kids, leaves))
+        self.root = made[0, len(rows), 0]
+
+    def _split(self, lo: int, hi: int, depth: int) -> tuple[int, list[tuple[int, int]], tuple[int, int]]:
+        """How deep leaves lo:hi, which share their first ``depth`` members, go together; their branches and ends."""
         first, last = self.rows[lo], self.rows[hi - 1]
         most = min(len(first), len(last))
         differ = np.flatnonzero(first[depth:most] != last[depth:most])
         end = depth + int(differ[0]) if len(differ) else most  # rows are sorted: all share what the outer two share
-        sizes = [len(r) for r in self.rows[lo:hi]]
         children = []
         at = lo
         while at < hi and len(self.rows[at]) == end:
@@ -141,9 +156,7 @@ class Trie:
                 stop += 1
             children.append((at, stop))
             at = stop
-        kids = [self._build(a, b, end) for a, b in children]
-        self.nodes.append((lo, hi, first[depth:end], end, min(sizes), max(sizes), kids, leaves))
-        return len(self.nodes) - 1
+        return end, children, leaves
 
 
 def link_sets(sets: list[np.ndarray], percent: int, label: np.ndarray, guest: np.ndarray | None = None):
@@ -335,12 +348,17 @@ def _link_groups(percent: int):
     return apply
 
 
+def _tasks(df: DataFrame) -> int:
+    """A number of tasks that isn't cut down by the size of what they read: matching costs time, not bytes."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _run_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     dealt = members.join(sets.select("cid", "members"), "cid").select("grp", "block", "cid", "label", "guest", "members")
     return (
-        dealt.repartition("grp", "block")
+        dealt.repartition(_tasks(dealt), "grp", "block")
         .sortWithinPartitions("grp", "block")
-        .mapInArrow(_link_groups(percent), LINK)
+        .mapInArrow(thrifty(_link_groups(percent)), LINK)
         .distinct()
     )
 
@@ -393,6 +411,7 @@ def document_classes(
         .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
+        [ranks],
     )
     return members, classes.select("cid", "digest", "rep"), _links_between(texts, classes, words, percent)
 
@@ -425,15 +444,15 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
     lists = lists.filter(possible).select("gram", "m", "size", F.xxhash64("m", "x").alias("grp"))
     lists = keep(lists, "lists")
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") * 8 / BLOCK_BYTES)).cast("int")
-    groups = keep(
-        _heads_in(classes, lists).join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups"
-    )
+    heads, held = _heads_in(classes, lists)
+    groups = keep(heads.join(lists, "gram").select("grp", "cid", "m", blocks.alias("blocks")).distinct(), "groups", [held])
     # A group of one block falls into parts of possible partners; larger ones, mostly near copies, keep all.
     single = groups.filter("blocks = 1").withColumn("label", F.col("cid"))
     paired = _with_partners(single, classes.select("cid", "n", "sketch"), percent)
     paired = paired.select("grp", "cid", "m", F.lit(1).alias("blocks"))
     groups = keep(paired.unionByName(groups.filter("blocks > 1")), "paired")
-    sets = keep(_sets_of(texts, classes, groups, words), "sets")
+    found, held = _sets_of(texts, classes, groups, words)
+    sets = keep(found, "sets", [held])
 
     home = F.pmod(F.xxhash64("cid", "grp"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -479,8 +498,8 @@ def _links_between(texts: DataFrame, classes: DataFrame, words: int, percent: in
 def _with_partners(placed: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The parts (grp, cid, label, m) of the groups in ``placed`` (grp, cid, label) that histograms leave together."""
     sketched = placed.select("grp", "cid", "label").join(sketches, "cid")
-    grouped = sketched.select("grp", "cid", "label", "n", "sketch").repartition("grp").sortWithinPartitions("grp")
-    return grouped.mapInArrow(_near_parts(percent), "grp long, cid long, label long, m long").distinct()
+    grouped = sketched.select("grp", "cid", "label", "n", "sketch").repartition(_tasks(sketched), "grp").sortWithinPartitions("grp")
+    return grouped.mapInArrow(thrifty(_near_parts(percent)), "grp long, cid long, label long, m long").distinct()
 
 
 def _bit_pages(places: DataFrame, bits: int) -> np.ndarray:
@@ -492,8 +511,8 @@ def _bit_pages(places: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _heads_in(classes: DataFrame, lists: DataFrame, bits: int = 26) -> DataFrame:
-    """(gram, cid) of the prefixes, without most n-grams that are in no list: a bit map of 8 MB tells them."""
+def _heads_in(classes: DataFrame, lists: DataFrame, bits: int = 26) -> tuple[DataFrame, Broadcast]:
+    """(gram, cid) of the prefixes, without most n-grams that are in no list; and the bit map of 8 MB that tells them."""
     held = _bit_pages(lists.select(F.pmod("gram", F.lit(1 << bits))), bits)
     shared = classes.sparkSession.sparkContext.broadcast(held.reshape(-1))
 
@@ -505,12 +524,14 @@ def _heads_in(classes: DataFrame, lists: DataFrame, bits: int = 26) -> DataFrame
             hit = (shared.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
             yield pa.RecordBatch.from_arrays([pa.array(grams[hit]), pa.array(cids[hit])], names=["gram", "cid"])
 
-    return classes.select("cid", "prefix").mapInArrow(apply, "gram long, cid long")
+    return classes.select("cid", "prefix").mapInArrow(thrifty(apply), "gram long, cid long"), shared
 
 
-def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int) -> DataFrame:
+def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int) -> tuple[DataFrame, Broadcast]:
     """(cid, members, n, sketch) of the classes in ``groups``, from the texts again; sketch is a fine histogram.
 
+    Beside it the broadcast that reading it needs.
+
     A bit map of fixed size (1 MB) over the hashes of the wanted ids spares most other texts. Rows of equal
     text that it lets through are one row: each task sends a set once, and the rest meet by digest.
     """
@@ -541,10 +562,10 @@ def _sets_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, words: int
             )
 
     hashed = texts.select(F.pmod(F.xxhash64("id"), F.lit(1 << 23)).alias("p"), "text")
-    found = hashed.mapInArrow(apply, "digest binary, members binary, n long, sketch binary")
+    found = hashed.mapInArrow(thrifty(apply), "digest binary, members binary, n long, sketch binary")
     # Dealt by digest first, so that the aggregate and the join share one shuffle and one sort.
     found = found.repartition("digest").groupBy("digest").agg(*[F.first(c).alias(c) for c in ("members", "n", "sketch")])
-    return found.join(wanted.select("cid", "digest"), "digest").select("cid", "members", "n", "sketch")
+    return found.join(wanted.select("cid", "digest"), "digest").select("cid", "members", "n", "sketch"), shared
 
 
 def near_duplicate_rows(

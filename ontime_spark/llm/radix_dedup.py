@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime_spark.llm.common import join_by_weight, keep
+from ontime_spark.llm.common import join_by_weight, keep, thrifty
 
 TRIE_BYTES = 48 << 20  # what a task's trie may hold before a subtree leaves it
 PARTITION_BYTES = 32 << 20  # distinct texts that one partition should meet
@@ -186,12 +186,12 @@ def owners(docs: DataFrame, total: int, largest: bool = True, budget: int = TRIE
     """
     spark = docs.sparkSession
     single = docs.select("text", F.col("id").alias("owner"), F.lit(1).cast("long").alias("rows"))
-    partial = single.mapInArrow(_through_trie(largest, budget, False), PARTIAL)
+    partial = single.mapInArrow(thrifty(_through_trie(largest, budget, False)), PARTIAL)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION_BYTES))
     whole, turn = None, 0
     while True:
         dealt = partial.withColumn("hash", content_hash(F.col("text"), F.lit(turn))).repartition(parts << turn, "length", "hash")
-        merged = keep(dealt.select("text", "owner", "rows").mapInArrow(_through_trie(largest, budget, True), PARTIAL), "owners")
+        merged = keep(dealt.select("text", "owner", "rows").mapInArrow(thrifty(_through_trie(largest, budget, True)), PARTIAL), "owners")
         done = merged.filter("text is null").select("length", "sha", "owner", "rows")
         whole = done if whole is None else whole.union(done)
         partial = merged.filter("text is not null")

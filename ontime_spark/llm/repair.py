@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ontime_spark.llm.common import thrifty
+
 SPACE = " \t\n\x0b\x0c\r"
 KEEP, REROLE, DELETE, INSERT = "K", "R", "D", "I"
 COST = {KEEP: 0, REROLE: 3, DELETE: 4, INSERT: 3}
@@ -378,9 +380,9 @@ def audit(rows: DataFrame) -> DataFrame:
     empty string. A row with an empty role adds no initial and may be kept anywhere. Null conversation ids
     are one conversation, null turns come first. Other columns are ignored; an empty table gives no row.
     """
-    return in_order(rows).mapInArrow(_audits, AUDIT)
+    return in_order(rows).mapInArrow(thrifty(_audits), AUDIT)
 
 
 def repaired(rows: DataFrame) -> DataFrame:
     """Every edit of every conversation: (conv_id, place, edit, role, text); a deletion leaves no role and text."""
-    return in_order(rows).mapInArrow(_edits, EDITS)
+    return in_order(rows).mapInArrow(thrifty(_edits), EDITS)

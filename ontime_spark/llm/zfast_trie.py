@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ontime_spark.llm.common import join_by_weight, keep
+from ontime_spark.llm.common import join_by_weight, keep, thrifty
 
 ROOT = bytes(16)
 PIECE = 2048  # turns that travel together
@@ -278,7 +278,7 @@ def rebuilt_turns(turns: DataFrame, family: int = 5, most: int = 9) -> DataFrame
 def pieces(rows: DataFrame, piece: int = PIECE) -> DataFrame:
     """Conversations of ``rows`` (conv_id, part, place, token, size) cut into pieces; see :func:`_cut`."""
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "part", "place")
-    return dealt.select("conv_id", "token", "size").mapInArrow(_cut(piece), PIECES)
+    return dealt.select("conv_id", "token", "size").mapInArrow(thrifty(_cut(piece)), PIECES)
 
 
 def _members(ends: DataFrame) -> DataFrame:
@@ -323,9 +323,9 @@ def _members(ends: DataFrame) -> DataFrame:
         yield _columns(rows, "prefix, ends_sha256", [pa.binary(), pa.string()])
 
     ranges = ends.repartitionByRange("prefix", "conv_id").sortWithinPartitions("prefix", "conv_id")
-    texts = ranges.mapInArrow(written, "prefix binary, first long, ids string")
+    texts = ranges.mapInArrow(thrifty(written), "prefix binary, first long, ids string")
     meet = texts.repartition("prefix").sortWithinPartitions("prefix", "first")
-    return meet.select("prefix", "ids").mapInArrow(digested, "prefix binary, ends_sha256 string")
+    return meet.select("prefix", "ids").mapInArrow(thrifty(digested), "prefix binary, ends_sha256 string")
 
 
 def _above_owned(batches):
@@ -358,7 +358,7 @@ def prefix_tree(cut: DataFrame, held_turns: int = HELD_TURNS) -> DataFrame:
     Rows (prefix, conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256);
     prefix is a digest of 128 bits, by which prefixes are told apart. No conversation gives no row.
     """
-    bits = cut.select("conv_id", "begin", "depth", "tokens", "sizes").mapInArrow(_through_tries(held_turns), NODES)
+    bits = cut.select("conv_id", "begin", "depth", "tokens", "sizes").mapInArrow(thrifty(_through_tries(held_turns)), NODES)
     merged = bits.groupBy("prefix", "depth").agg(
         F.min("parent").alias("parent"), F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.min("size").alias("size")
     )
@@ -374,7 +374,7 @@ def prefix_tree(cut: DataFrame, held_turns: int = HELD_TURNS) -> DataFrame:
         (F.col("bytes") - F.coalesce("owned", F.lit(0))).alias("shared"),
     )
     fields = ["begin", "depth", "before", "tokens", "sizes", "owns", "leaf", "shared"]
-    added = cut.join(share, "conv_id").select(*fields).mapInArrow(_above_owned, "prefix binary, leaves long, saved long")
+    added = cut.join(share, "conv_id").select(*fields).mapInArrow(thrifty(_above_owned), "prefix binary, leaves long, saved long")
     sums = added.groupBy("prefix").agg(F.sum("leaves").alias("n_leaves"), F.sum("saved").alias("saved_tokens"))
     ends = _members(cut.filter("last").select(F.col("stop").alias("prefix"), "conv_id"))
     # Many nodes may have one parent, so the join to parents is by weight.
