@@ -111,6 +111,8 @@ def type_records(
     pushed below the parsing, where lines would be parsed once more to filter them.
     """
     schema = ", ".join(f"{f} {_csv_type(kind, strict_int)}" for _, f, kind in RAW_FIELDS)
+    # Where lines are computed, they are computed once: expressions do not move past an observation.
+    lines = lines.observe(f"lines-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("lines"))
     plain = lines.select("value", F.regexp_extract("value", PLAIN_RECORD, 1).alias("plain"), *keep)
     read = plain.select(
         "value", F.from_csv("plain", f"{schema}, misfit string", CSV_OPTIONS).alias("csv"), *keep

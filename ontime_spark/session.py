@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from ontime_spark.sinks import files
+
 
 def build_session(app: str, conf: dict[str, str] | None = None) -> SparkSession:
     """A session with UTC time, adaptive execution and a state store that spills to disk.
@@ -44,6 +47,15 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        files.delete(spark, path)
+    except Exception:  # the session may have ended before the program
+        return
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/ontime_spark/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is there when the program ends is removed."""
+    path = f"{shared_dir(spark)}/ontime_spark/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
