@@ -1,13 +1,14 @@
 """Nearest neighbours of vectors, approximate by inner product and exact by Hamming distance.
 
-Both searches deal the candidates to blocks of bounded size, build an index over each block, and take
-the queries of a batch through it. Blocks' answers, at most k a query, are merged by rank.
+Vectors of one length are dealt to blocks of bounded size. A task builds its block's index once and takes
+all queries past it, in batches; so what travels is every row once and every query once a block. Blocks'
+answers, at most k a query, are merged by rank.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,26 +16,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ontime_spark.llm.common import keep
+from ontime_spark.llm.common import join_by_weight, keep, thrifty
 
 BLOCK_ROWS = 16_384
-QUERY_ROWS = 1024
+BLOCK_BYTES = 64 << 20  # of a block's vectors, however long they are
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): rows with an id and a vector of finite numbers that aren't all zero, as doubles.
+    """(id, v, width, rows, norm): rows with an id and a vector of finite numbers that aren't all zero, as doubles.
 
-    Vectors shorter than the longest are left out: they have no inner product with it.
+    rows and norm are of all vectors of the same length (width): their number and greatest squared norm.
     """
     v = F.col(f"`{vector_col}`").cast("array<double>")
     good = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = keep(
-        df.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v")).filter(
-            F.col("id").isNotNull() & good & F.exists("v", lambda x: x != 0)
-        ),
-        "vectors",
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v")).filter(
+        F.col("id").isNotNull() & good & F.exists("v", lambda x: x != 0)
     )
-    return rows.filter(F.size("v") == (rows.agg(F.max(F.size("v"))).first()[0] or 0))
+    rows = keep(rows.withColumn("width", F.size("v")), "vectors")
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    widths = rows.groupBy("width").agg(F.count(F.lit(1)).alias("rows"), F.max(norm).alias("norm"))
+    return join_by_weight(rows, keep(widths, "widths"), ["width"], "rows")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -83,51 +84,76 @@ class ProjectedTree:
         return (gap * gap).sum(axis=1)
 
 
-def search_block(
-    ids: np.ndarray, v: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, greatest: float,
-    projection: np.ndarray, confidence: float,
-) -> list[tuple[int, int, float]]:
-    """(query, id, inner product) of each query's k best in one block.
+FIRST_LEAVES, FIRST_POINTS = 4, 256
+
+
+class ProjectedBlock:
+    """A block's vectors with their projections in a kd-tree.
 
     With a last component that gives all candidates the norm ``greatest``, and 0 for queries, a larger
     inner product is a smaller distance. A squared projected distance over the squared distance is
-    chi-square distributed; leaves come by growing projected distance, their points are verified,
-    and the search ends when a neighbour nearer than the kth found would, with ``confidence``, have
-    come before.
+    chi-square distributed with as many degrees of freedom as there are projections.
     """
-    m = projection.shape[1]
-    last = np.sqrt(np.maximum(greatest**2 - (v * v).sum(axis=1), 0))
-    tree = ProjectedTree(v @ projection[:-1] + last[:, None] * projection[-1])
-    lengths = (q * q).sum(axis=1) + greatest**2
-    projected = q @ projection[:-1]
-    out: list[tuple[int, int, float]] = []
-    for i in range(len(q)):
-        gaps = tree.distances(projected[i])
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray, greatest: float, dimensions: int, confidence: float, seed: int):
+        self.ids, self.v, self.greatest, self.confidence = ids, v, greatest, confidence
+        self.projection = np.random.default_rng((seed, v.shape[1])).standard_normal((v.shape[1] + 1, dimensions))
+        last = np.sqrt(np.maximum(greatest**2 - (v * v).sum(axis=1), 0))
+        self.points = v @ self.projection[:-1] + last[:, None] * self.projection[-1]
+        self.tree = ProjectedTree(self.points)
+        self.verified = 0
+
+    def search(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int, float]]:
+        """(query, id, inner product) of the k best, by incremental projected neighbours.
+
+        Leaves open by growing distance of their boxes; the points of open leaves that are nearer than the
+        next box are the next projected neighbours, and are verified in their order. The search ends when a
+        neighbour nearer than the kth verified would, with ``confidence``, have come before the next one.
+        """
+        freedom = self.points.shape[1]
+        length = float((q * q).sum()) + self.greatest**2
+        projected = q @ self.projection[:-1]
+        gaps = self.tree.distances(projected)
         order = np.argsort(gaps, kind="stable")
-        at = np.zeros(0, np.int64)
-        near = np.zeros(0)
-        kth = math.inf
-        taken = 0
-        while taken < len(order):
-            gap = gaps[order[taken]]
-            if len(near) >= k and chi_square(gap / max(kth, 1e-300), m) >= confidence:
+        opened, waiting, away = 0, np.zeros(0, np.int64), np.zeros(0)
+        at, near, kth = np.zeros(0, np.int64), np.zeros(0), math.inf
+
+        def settled(distance: float) -> bool:
+            return len(near) >= k and chi_square(distance / max(kth, 1e-300), freedom) >= self.confidence
+
+        while opened < len(order) or len(waiting):
+            step = order[opened : opened + max(FIRST_LEAVES, opened // 2)]
+            opened += len(step)
+            edge = gaps[order[opened]] if opened < len(order) else math.inf
+            if len(step):
+                fresh = np.concatenate([self.tree.leaves[j] for j in step])
+                gap = self.points[fresh] - projected
+                waiting, away = np.concatenate([waiting, fresh]), np.concatenate([away, (gap * gap).sum(axis=1)])
+            sure = away <= edge  # none of a closed leaf comes before these
+            ready, far = waiting[sure], away[sure]
+            waiting, away = waiting[~sure], away[~sure]
+            turn = np.argsort(far, kind="stable")
+            ready, far = ready[turn], far[turn]
+            taken = 0
+            while taken < len(ready):
+                if settled(far[taken]):
+                    break
+                some = ready[taken : taken + max(FIRST_POINTS, len(at))]
+                taken += len(some)
+                self.verified += len(some)
+                some = some[self.ids[some] != query_id]
+                at, near = np.concatenate([at, some]), np.concatenate([near, self.v[some] @ q])
+                if len(near) > k:
+                    least = np.partition(near, -k)[-k]
+                    best = near >= least - 1e-9 * (1 + abs(least))  # all ties stay
+                    at, near = at[best], near[best]
+                if len(near) >= k:
+                    kth = max(length - 2 * np.partition(near, -k)[-k], 0)
+            if taken < len(ready) or settled(edge):
                 break
-            step = max(1, taken)  # as many leaves again as before
-            fresh = np.concatenate([tree.leaves[j] for j in order[taken : taken + step]])
-            taken += step
-            fresh = fresh[ids[fresh] != query_ids[i]]
-            at, near = np.concatenate([at, fresh]), np.concatenate([near, v[fresh] @ q[i]])
-            if len(near) > k:
-                edge = np.partition(near, -k)[-k]
-                best = near >= edge - 1e-9 * (1 + abs(edge))  # all ties stay
-                at, near = at[best], near[best]
-            if len(near) >= k:
-                kth = max(lengths[i] - 2 * np.partition(near, -k)[-k], 0)
-        if len(at):
-            exact = (v[at] * q[i]).sum(axis=1)  # one row at a time: equal vectors score equally
-            first = np.lexsort((ids[at], -exact))[:k]
-            out += [(int(query_ids[i]), int(ids[at[j]]), float(exact[j])) for j in first]
-    return out
+        exact = (self.v[at] * q).sum(axis=1)  # one row at a time: equal vectors score equally
+        first = np.lexsort((self.ids[at], -exact))[:k]
+        return [(int(query_id), int(self.ids[at[j]]), float(exact[j])) for j in first]
 
 
 # ---------------------------------------------------------------- exact, by Hamming distance
@@ -166,93 +192,111 @@ _ALL16 = np.arange(65536, dtype=np.uint16)
 _RINGS = [_ALL16[np.bitwise_count(_ALL16) == r] for r in range(17)]
 
 
-def search_codes(
-    ids: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
-) -> list[tuple[int, int, int]]:
-    """(query, id, distance) of each query's k nearest codes, ties to the smaller id; exact.
+class CodeBlock:
+    """A block's codes with their segment tables."""
 
-    At radius r every code with a segment within r of the query's is verified. A code not seen yet
-    differs by r + 1 or more in each of the m segments, so by m * (r + 1) or more: once the kth verified
-    distance is below that, nothing nearer and no tie can be left.
-    """
-    tables = SegmentTables(codes)
-    m = tables.parts.shape[1]
-    out: list[tuple[int, int, int]] = []
-    parts = queries.view(np.uint16)
-    for i in range(len(queries)):
-        seen = np.zeros(len(codes), bool)
-        seen[ids == query_ids[i]] = True
+    def __init__(self, ids: np.ndarray, v: np.ndarray):
+        self.ids, self.codes = ids, sign_codes(v)
+        self.tables = SegmentTables(self.codes)
+
+    def search(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        """(query, id, distance) of the k nearest codes, ties to the smaller id; exact.
+
+        At radius r every code with a segment within r of the query's is verified. A code not seen yet
+        differs by r + 1 or more in each of the m segments, so by m * (r + 1) or more: once the kth verified
+        distance is below that, nothing nearer and no tie can be left.
+        """
+        code = sign_codes(q[None, :])[0]
+        parts, m = code.view(np.uint16), self.tables.parts.shape[1]
+        seen = np.zeros(len(self.codes), bool)
+        seen[self.ids == query_id] = True
         at, far = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for radius in range(17):
-            fresh = np.concatenate([tables.rows(s, parts[i, s] ^ _RINGS[radius]) for s in range(m)])
+            fresh = np.concatenate([self.tables.rows(s, parts[s] ^ _RINGS[radius]) for s in range(m)])
             fresh = np.unique(fresh[~seen[fresh]])
             seen[fresh] = True
-            d = np.bitwise_count(codes[fresh] ^ queries[i]).sum(axis=1, dtype=np.int64)
+            d = np.bitwise_count(self.codes[fresh] ^ code).sum(axis=1, dtype=np.int64)
             at, far = np.concatenate([at, fresh]), np.concatenate([far, d])
             if len(far) >= k and np.partition(far, k - 1)[k - 1] < m * (radius + 1):
                 break
-        first = np.lexsort((ids[at], far))[:k]
-        out += [(int(query_ids[i]), int(ids[at[j]]), int(far[j])) for j in first]
-    return out
+        first = np.lexsort((self.ids[at], far))[:k]
+        return [(int(query_id), int(self.ids[at[j]]), int(far[j])) for j in first]
 
 
 # ---------------------------------------------------------------- both
 
 
-def _search(
-    rows: DataFrame, is_query, k: int, find: Callable, score_type: str, descending: bool
-) -> DataFrame:
-    """Blocks of candidates against batches of queries, and the k best of what they find.
+def _search(rows: DataFrame, is_query, k: int, index: Callable, score_type: str, descending: bool) -> DataFrame:
+    """The k best of what every block finds for every query of its length.
 
-    Rows of one block and batch are the members of one key of a co-grouped map: a block's candidates
-    go to each batch of queries, so work is queries times blocks and every group is bounded.
+    A block's rows come first, then its queries: the index is built when the first of them comes, and then
+    queries stream past it. Blocks that no query meets, and queries, are bounded by batches.
     """
-    n_rows, n_queries = rows.select(F.count(F.lit(1)), F.count_if(is_query)).first()
-    blocks, batches = max(1, -(-n_rows // BLOCK_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    batch = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(batches)).cast("int")
-    left = rows.withColumn("block", block).withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    right = rows.filter(is_query).withColumn("batch", batch).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def pair(data: pa.Table, queries: pa.Table) -> pa.Table:
-        found = []
-        if data.num_rows and queries.num_rows:
-            d, q = data.combine_chunks(), queries.combine_chunks()
-            found = find(
-                d["id"].to_numpy(), _matrix(d["v"].combine_chunks()), q["id"].to_numpy(), _matrix(q["v"].combine_chunks())
-            )
-        kinds = (pa.int64(), pa.int64(), pa.float64() if score_type == "double" else pa.int32())
-        return pa.table([pa.array([f[c] for f in found], kinds[c]) for c in range(3)], names=["query_id", "vec_id", "score"])
-
-    schema = f"query_id long, vec_id long, score {score_type}"
-    near = left.groupBy("block", "batch").cogroup(right.groupBy("block", "batch")).applyInArrow(pair, schema)
+    fit = F.greatest(F.least(F.lit(BLOCK_ROWS), F.floor(BLOCK_BYTES / (8 * F.col("width")))), F.lit(1))
+    blocks = F.ceil(F.col("rows") / fit).cast("int")
+    dealt = rows.withColumn("blocks", blocks)
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["width", "block", "query", "id", "v", "norm"]
+    held = dealt.withColumn("block", mine).withColumn("query", F.lit(False)).select(columns)
+    asked = dealt.filter(is_query).withColumn("block", every).withColumn("query", F.lit(True)).select(columns)
+    # As many tasks as blocks, where the cluster has no more of them.
+    number = dealt.agg(F.sum(1 / F.col("rows") * F.col("blocks"))).first()[0]
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), round(number or 1))
+    meet = held.unionByName(asked).repartition(tasks, "width", "block").sortWithinPartitions("width", "block", "query")
+    kinds = (pa.int64(), pa.int64(), pa.float64() if score_type == "double" else pa.int32())
+
+    def packed(found):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f[c] for f in found], kinds[c]) for c in range(3)], names=["query_id", "vec_id", "score"]
+        )
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, parts, built = None, [], None
+        for batch in batches:
+            heads = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
+            cuts = [0, *(np.flatnonzero((heads[1:] != heads[:-1]).any(axis=1)) + 1).tolist(), len(heads)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a == b:
+                    continue
+                part, (width, block, query) = batch.slice(a, b - a), heads[a].tolist()
+                ids, v = part.column(3).to_numpy(), _matrix(part.column(4))
+                if (width, block) != key:
+                    key, parts, built = (width, block), [], None
+                if not query:
+                    parts.append((ids, v, part.column(5)[0].as_py()))
+                    continue
+                if built is None:  # a block of queries has rows, as they are among them
+                    built = index(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), parts[0][2])
+                    parts = []
+                yield packed([f for i in range(len(ids)) for f in built.search(ids[i], v[i], k)])
+
+    found = meet.select(columns).mapInArrow(thrifty(apply), f"query_id long, vec_id long, score {score_type}")
     order = F.col("score").desc() if descending else F.col("score").asc()
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))
-    return near.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k)
+    return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k)
 
 
 def nearest_by_inner_product(
     df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-    dimensions: int = 8, confidence: float = 0.9, seed: int = 3,
+    dimensions: int = 24, confidence: float = 0.9, seed: int = 3,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest other rows, by largest inner product.
 
     ``is_query`` is a condition on the column ``id``. Scores are in double precision on the vectors
     given; ties go to the smaller id. Rows whose id or vector is null, or whose vector is zero or not
-    finite, take no part. Vectors must be of one length. Rows that repeat an id are candidates each.
+    finite, take no part. Rows that repeat an id are candidates each.
     With fewer candidates than k all come. Other columns are ignored; an empty table gives no rows.
 
-    Only the greatest length of a vector is learnt from the data; every row is indexed.
+    Only the greatest norm of each length is learnt from the data; every row is indexed. A vector meets those
+    of its own length, as it has no inner product with others.
     """
     rows = usable(df, id_col, vector_col)
-    facts = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.max(F.size("v"))).first()
-    greatest, width = math.sqrt(facts[0] or 0.0) * (1 + 1e-12), facts[1] or 0
-    projection = np.random.default_rng(seed).standard_normal((width + 1, dimensions))
 
-    def find(ids, v, query_ids, q):
-        return search_block(ids, v, query_ids, q, k, greatest, projection, confidence)
+    def index(ids, v, norm):
+        return ProjectedBlock(ids, v, math.sqrt(norm) * (1 + 1e-12), dimensions, confidence, seed)
 
-    return _search(rows, is_query, k, find, "double", True).select("query_id", "rank", "vec_id", "score")
+    return _search(rows, is_query, k, index, "double", True).select("query_id", "rank", "vec_id", "score")
 
 
 def nearest_by_hamming(
@@ -266,8 +310,5 @@ def nearest_by_hamming(
     """
     rows = usable(df, id_col, vector_col)
 
-    def find(ids, v, query_ids, q):
-        return search_codes(ids, sign_codes(v), query_ids, sign_codes(q), k)
-
-    found = _search(rows, is_query, k, find, "int", False)
+    found = _search(rows, is_query, k, lambda ids, v, norm: CodeBlock(ids, v), "int", False)
     return found.select("query_id", "rank", "vec_id", F.col("score").alias("distance"))
