@@ -36,7 +36,7 @@ BREAKS = frozenset(
 HOLDERS = BREAKS | frozenset("button select textarea noscript template iframe svg object canvas audio video label math".split())
 ASIDE = frozenset(
     "nav aside footer button select option textarea script style noscript template iframe svg object canvas"
-    " audio video head title dialog menu label fieldset math".split()
+    " audio video head title dialog menu label fieldset".split()
 )
 ASIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion menu nav navbar navigation"
@@ -45,19 +45,29 @@ ASIDE_NAMES = frozenset(
     " subscription signup login register search comment comments disqus replies responses pagination pager toolbar"
     " topbar skip".split()
 )
+# Names that set an element inside a line aside, and those that mean it only where most of the text is links.
+LINE_NAMES = frozenset("ad ads advert advertisement sponsored promo share sharing social newsletter subscribe".split())
+LINK_NAMES = frozenset("menu related recommended recommendations search register".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 MAIN = frozenset(("article", "main"))
 CONTAINERS = frozenset("html body div section article main center td form".split())
 
+ORDERED = frozenset(("div", "section"))  # without class and id these are told apart by their order
+FRAMES = frozenset("nav aside footer header menu dialog fieldset".split())  # they divide a page as containers do
+
 NAMED_SHARE = 0.9  # of a page's text that a named element holds which is taken for its article
 NAMED_LENGTH = 200
+LINK_SHARE = 0.5  # of the text of a list that is links and not prose
 LEAST_SHARE = 0.3  # of a host's pages that a class must occur in
 LEAST_PAGES = 3
 LEAST_SIZE = 3  # tokens of a class in one slot
 LEAST_DATA = 0.2  # of what a slot's pages have in it that a class in it must leave
+BESIDE_SHARE = 0.5  # of the pages with a place that a slot of its own beside the main one is on
+BESIDE_SIZE = 0.25  # of the main slot's text that such a slot may have
 MAIN_SHARE = 2 / 3  # of its pages' text outside the template that a main slot holds
 
 _TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|(!--|!|\?|/))")
+_OPEN_END = re.compile(r"<[!?/]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NUMBER = re.compile(r"[-_\d]+$")
 
@@ -68,23 +78,28 @@ class Element:
     named has the numbers of the elements around it, itself included, that their names may set aside.
     """
 
-    __slots__ = ("name", "place", "aside", "named", "main", "holders")
+    __slots__ = ("name", "place", "aside", "named", "main", "holders", "plain")
 
     def __init__(self, name: str, place: str, aside: bool, named: tuple[int, ...], main: bool, holders: tuple[int, int]):
         self.name, self.place, self.aside, self.named, self.main, self.holders = name, place, aside, named, main, holders
+        self.plain = 0  # children that only their order tells apart
 
     def outside(self) -> tuple:
         return self.aside, self.named
 
 
-def _is_named(name: str, value: str) -> bool:
-    """Whether a whole word of a class or id, but for numbers at its end, is a usual name of what is no article."""
-    return name not in ("html", "body") and any(_NUMBER.sub("", w) in ASIDE_NAMES for w in value.split())
+def _aside_words(name: str, value: str) -> set[str]:
+    """The whole words of a class or id, but for numbers at their end, that are usual names of what is no article."""
+    if name in ("html", "body"):
+        return set()
+    return {_NUMBER.sub("", w) for w in value.split()} & (ASIDE_NAMES if name in HOLDERS else LINE_NAMES)
 
 
-def _freed(raw: list[tuple], holders: tuple[list, list]) -> set[int]:
+def _freed(raw: list[tuple], holders: tuple[list, list], unsure: set[int]) -> set[int]:
     """The numbers of named elements that their names don't set aside, for what they hold.
 
+    Those in ``unsure`` are set aside only where most of their text is links.
+
     These hold the page's chief article or main element, the one with most text beside what is named in it
     (articles in articles don't count, nor one shorter than the main element's text); or, in a page without
     them, nearly all of the page's text.
@@ -93,7 +108,7 @@ def _freed(raw: list[tuple], holders: tuple[list, list]) -> set[int]:
     longest = -1
     for kind in (1, 0):
         sizes = [0] * len(holders[kind])
-        for _, words, aside, named, _, inside in raw:
+        for _, words, aside, named, _, inside, _ in raw:
             if not aside and inside[kind] >= 0 and named == holders[kind][inside[kind]]:
                 sizes[inside[kind]] += len(words)
         if sizes and max(sizes) >= longest:
@@ -101,7 +116,7 @@ def _freed(raw: list[tuple], holders: tuple[list, list]) -> set[int]:
             freed.update(holders[kind][sizes.index(longest)])
     if longest < 0:
         by_named: dict[tuple[int, ...], int] = {}
-        for _, words, aside, named, _, _ in raw:
+        for _, words, aside, named, *_ in raw:
             if not aside:
                 by_named[named] = by_named.get(named, 0) + len(words)
         if by_named:
@@ -113,6 +128,11 @@ def _freed(raw: list[tuple], holders: tuple[list, list]) -> set[int]:
             if top is not None and outer[top] >= max(NAMED_LENGTH, NAMED_SHARE * sum(by_named.values())):
                 inside = {k: v for k, v in by_named.items() if k and k[0] == top}
                 freed.update(max(inside, key=inside.get))
+    linked = dict.fromkeys(unsure, 0.0)
+    for _, words, _, named, _, _, links in raw if unsure else ():
+        for n in unsure.intersection(named):
+            linked[n] += links - LINK_SHARE * len(words)
+    freed.update(n for n, more in linked.items() if more < 0)
     return freed
 
 
@@ -133,23 +153,45 @@ def blocks(
     opened: dict[str, tuple[int, ...]] = {}
     holders: tuple[list, list] = ([], [])  # named elements around each outer article, and each outer main element
     names = 0
+    unsure: set[int] = set()
     stack = [Element("", "", False, (), False, (-1, -1))]
+    inline: dict[str, int] = {}  # open elements of a line, by name
     text: list[str] = []
-    at, size = 0, len(page)
+    links, in_link = 0, False  # of the text since the last block's end, how much is in links
+    at, size, last = 0, len(page), page.rfind(">")
+
+    def say(words: str) -> None:
+        nonlocal links
+        text.append(words)
+        if in_link:
+            links += len(words)
+
+    def close_to(i: int) -> None:
+        for element in stack[i:]:
+            if element.name not in BREAKS:
+                inline[element.name] -= 1
+        del stack[i:]
 
     def flush() -> None:
+        nonlocal links
         if text:
             words = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if words:
                 top = stack[-1]
-                raw.append((top.place, words, top.aside, top.named, top.main, top.holders))
+                raw.append((top.place, words, top.aside, top.named, top.main, top.holders, min(links, len(words))))
+            links = 0
+
+    def push(element: Element) -> None:
+        stack.append(element)
+        if element.name not in BREAKS:
+            inline[element.name] = inline.get(element.name, 0) + 1
 
     def open_element(name: str, attributes: str) -> None:
         nonlocal names
         top = stack[-1]
         aside, main, label = top.aside or name in ASIDE, top.main or name in MAIN, name
-        named, article, middle = name == "form", name == "article", name == "main"
+        article, middle, words = name == "article", name == "main", set()
         if name == "header" and not top.main:
             aside = True
         for key, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
@@ -161,31 +203,40 @@ def blocks(
                 main = main or article or middle
             else:
                 label += "." + re.sub(r"\d+", "#", value)
-                named = named or _is_named(name, value)
+                words |= _aside_words(name, value)
+        if label == name and name in ORDERED:
+            top.plain += 1
+            label = f"{name}[{top.plain}]"
         place = f"{top.place}/{label}"
         if len(place) > 400:  # deep pages: the path's digest stands for its beginning
             place = hashlib.blake2b(place.encode(), digest_size=8).hexdigest()
         places[place] = places.get(place, 0) + 1
         numbers, inside = top.named, list(top.holders)
-        if named:
+        if words or name == "form":
             names += 1
             numbers += (names,)
+            if top.main and name != "form" and words <= LINK_NAMES:
+                unsure.add(names)
         around.setdefault(place, (top.place, name))
         opened.setdefault(place, numbers)
         for kind, here in enumerate((article, middle)):
             if here and inside[kind] < 0:
                 inside[kind] = len(holders[kind])
                 holders[kind].append(numbers)
-        stack.append(Element(name, place, aside, numbers, main, tuple(inside)))
+        push(Element(name, place, aside, numbers, main, tuple(inside)))
 
     no_comment_end = False
     while at < size:
+        if at > last:  # no tag ends after this
+            open_end = _OPEN_END.search(page, at)
+            say(page[at : open_end.start()] if open_end else page[at:])
+            break
         m = _TAG.search(page, at)
         if not m:
-            text.append(page[at:])
+            say(page[at:])
             break
         if m.start() > at:
-            text.append(page[at : m.start()])
+            say(page[at : m.start()])
         at = m.end()
         if m[7]:
             if m[7] == "!--":
@@ -198,6 +249,8 @@ def blocks(
             continue
         name = (m[2] or m[5]).lower()
         attributes = m[3] if m[2] else m[6]
+        if name == "a":
+            in_link = not (m[1] or m[4])
         if m[1] or m[4]:
             if name in BREAKS:
                 flush()
@@ -205,15 +258,15 @@ def blocks(
                 if stack[i].name == name:
                     if name not in BREAKS and stack[i].outside() != stack[i - 1].outside():
                         flush()
-                    del stack[i:]
+                    close_to(i)
                     break
             continue
         if name in BREAKS:
             flush()
             if stack[-1].name == "p" or (name == "li" and stack[-1].name == "li"):
-                stack.pop()
+                close_to(len(stack) - 1)
         elif name == "br":
-            text.append(" ")
+            say(" ")
         if name in VOID:
             continue
         if name in HOLDERS or _ATTRIBUTE.search(attributes):
@@ -223,18 +276,21 @@ def blocks(
                 top = stack.pop()
                 flush()
                 stack.append(top)
+        elif inline.get(name) and name not in VOID:  # its end must not close one around it
+            top = stack[-1]
+            push(Element(name, top.place, top.aside, top.named, top.main, top.holders))
         if name in RAW:
             low = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
             inside = page[at : low.start()] if low else page[at:]
             at = low.start() if low else size
             if name in ("title", "textarea"):
-                text.append(inside)
+                say(inside)
     flush()
-    freed = _freed(raw, holders)
+    freed = _freed(raw, holders, unsure)
     for place in opened if slots else ():
         if opened[place] and _number(place) in slots:
             freed.update(opened[place])
-    return [(p, w, aside or not freed.issuperset(named), main) for p, w, aside, named, main, _ in raw], places, around
+    return [(p, w, aside or not freed.issuperset(named), main) for p, w, aside, named, main, *_ in raw], places, around
 
 
 def _number(*parts: str) -> int:
@@ -246,7 +302,7 @@ FIELDS = ("token", "times", "parent", "kind", "length", "total")
 
 def page_tokens(page: str) -> list[tuple[int, int, int, int, int, int]]:
     """(token, times, parent token, kind, length, total) of a page: kind 0 is a place, 1 a text at a place,
-    2 a place that is a container, 3 a chief heading's.
+    2 a place that is a container, 3 a chief heading's, 4 another one that divides a page.
 
     A length counts text that is not set aside: a place's all in and under it, a text's all its times; total
     is the page's.
@@ -265,7 +321,7 @@ def page_tokens(page: str) -> list[tuple[int, int, int, int, int, int]]:
     for p in reversed(around):
         lengths[around[p][0]] = lengths.get(around[p][0], 0) + lengths.get(p, 0)
     number = {p: _number(p) for p in places} | {"": 0}
-    kind = lambda name: 2 if name in CONTAINERS else 3 if name == "h1" else 0
+    kind = lambda name: 2 if name in CONTAINERS else 3 if name == "h1" else 4 if name in FRAMES else 0
     out = [(number[p], n, number[around[p][0]], kind(around[p][1]), lengths.get(p, 0), total) for p, n in places.items()]
     out += [(_number(p, w), n, number[p], 1, length, total) for (p, w), (n, length) in texts.items()]
     return out
@@ -313,6 +369,11 @@ class Template:
             for t in part:
                 self.framed[t["token"]] = before + (0 if copies else own)
 
+    def _recurs(self, beside: int, around: int, text: float) -> bool:
+        """Whether a place is on most pages that have the one around it, with much less than ``text`` on each."""
+        m = self.at[beside]
+        return m["pages"] >= BESIDE_SHARE * self.at[around]["pages"] and m["length"] < BESIDE_SIZE * text * m["pages"]
+
     def slots(self) -> list[int]:
         """The main slots: of those that a page has, the ones around no other are its own."""
         held: dict[int, float] = {}  # the template's text in and under each place
@@ -330,6 +391,10 @@ class Template:
             while p in self.at:
                 titled.add(p)
                 p = self.at[p]["parent"]
+        frames: dict[int, list[int]] = {}  # what divides each place
+        for t, v in self.at.items():
+            if v["kind"] in (2, 4):
+                frames.setdefault(v["parent"], []).append(t)
         single = {t: v for t, v in self.at.items() if v["kind"] == 2 and v["times"] == v["pages"]}
         found = set()
         for token, place in single.items():
@@ -337,12 +402,13 @@ class Template:
             data = place["length"] - held.get(token, 0)
             if data <= 0 or data < MAIN_SHARE * (place["total"] - place["pages"] * self.framed.get(valid, 0)):
                 continue
-            # What is beside it belongs to it, unless a container there is a slot of its own: it has text beside
-            # the template's, and no chief heading.
+            # What is beside it belongs to it, unless something there is a slot of its own: it has text beside
+            # the template's and no chief heading, and either some of the template, too, or it is on most of the
+            # pages and holds much less.
             below, top, p = token, token, place["parent"]
             while p in self.at:
-                others = [m for m in marked.get(p, ()) if m != below and m not in titled and self.at[m]["kind"] == 2]
-                if any(self.at[m]["length"] > held[m] for m in others):
+                beside = [m for m in frames.get(p, ()) if m != below and m not in titled and self.at[m]["length"] > held.get(m, 0)]
+                if any((m in marked.get(p, ()) and self.at[m]["kind"] == 2) or self._recurs(m, p, data / place["pages"]) for m in beside):
                     break
                 if p in single:
                     top = p
