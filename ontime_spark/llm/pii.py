@@ -33,6 +33,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _HIT = re.compile(r"[0-9@]")
 _WORD = re.compile(r"\S+")
+_BEFORE = re.compile(r"[A-Za-z]+\.?[:=]")  # what a number or address is called, written close to it
 
 
 def luhn(digits: str) -> bool:
@@ -83,14 +84,18 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return [(a, KINDS[k], b) for a, k, b in sorted(out)]
 
 
+SHAPE = 40  # characters of a shape, of a whole word, beyond which shapes are alike; no known form has so many
+
+
 def shape(word: str) -> str:
-    """Letters as a or A, digits as 9, runs of one class shortened to two; long words are cut for this."""
-    flat = re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "9", word[:60])))
-    return re.sub(r"(.)\1+", r"\1\1", re.sub(r"[^\x00-\x7f]", "u", flat))
+    """Letters as a or A, digits as 9, runs of one class shortened to two; what is left of odd words is cut."""
+    flat = re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "9", word)))
+    flat = re.sub(r"(.)\1+", r"\1\1", re.sub(r"[^\x00-\x7f]", "u", flat))
+    return flat if len(flat) <= SHAPE else flat[:SHAPE] + "~"
 
 
 def _length(word: str) -> str:
-    n = len(_DIGIT.findall(word[:60]))
+    n = len(_DIGIT.findall(word))
     return str(n) if n < 8 else "8-13" if n < 14 else "14-19" if n < 20 else "20+"
 
 
@@ -275,10 +280,10 @@ def field_spans(texts: list[str], field: Field, batch_words: int = 20_000) -> li
         runs = _places(text)
         for places in runs:
             a = text.rfind(" ", 0, max(0, places[0][0] - 1)) + 1
-            context = [text[max(a, places[0][0] - 60) : places[0][0]].strip() or "<"]
+            context = [text[a : places[0][0]].strip() or "<"]
             words = context + [text[x:y] for x, y in places]
             following = _WORD.search(text, places[-1][1])
-            words.append(following[0][:60] if following else ">")
+            words.append(following[0] if following else ">")
             scores = np.zeros((len(places), K))
             for i in range(len(places)):
                 scores[i] = emit[[field.names[f] for f in word_features(words, i + 1) if f in field.names]].sum(axis=0)
@@ -320,10 +325,14 @@ def _collect(out: list, text: str, places: list[tuple[int, int]], labels: np.nda
         while j < len(places) and LABELS[labels[j]] == f"I-{kind}":
             j += 1
         start, end = places[i][0], places[j - 1][1]
-        while start < end and text[start] in ".,;:!?\"'":
+        label = _BEFORE.match(text, start, end)
+        start = label.end() if label else start
+        while start < end and text[start] in ".,;:!?\"'<[{":
             start += 1
-        while end > start and text[end - 1] in ".,;:!?\"'":
+        while end > start and (text[end - 1] in ".,;:!?\"'>]}" or (text[end - 1] == ")" and "(" not in text[start:end])):
             end -= 1
+        if text[start : start + 1] == "(" and text.find(")", start, end) < 0:
+            start += 1
         found = text[start:end]
         plain = re.fullmatch(r"[+0-9 ()./-]+", found)
         if kind == "email":

@@ -25,6 +25,47 @@ number <card>4012888888881881</card> was used
 charged <card>4222.2222.2222.2220</card> for 20 items
 card <card>3782 822463 10005</card> ok
 billing <card>6011/1111/1111/1117</card> done
+dial <phone>366.555.9807</phone> any time
+or <phone>207.555.0143</phone>, ask for anna
+ring <phone>(366)555-9807</phone> before noon
+at <phone>(415)555-0188</phone> or <phone>415.555.0188</phone> please
+<phone>phone:366-555-9807</phone> is best
+see <phone>tel:212-555-0199</phone> there
+<phone>Fax:(212)555-0177</phone> only
+büro <phone>0171/5550123</phone> ab neun
+zentrale <phone>030/5550-1234</phone> montags
+unter <phone>089/55501234</phone> erreichbar
+ruf <phone>tel.:+49 (0) 30/5550-1234</phone> an
+durchwahl <phone>+49 (0) 89/5550-4321</phone> frei
+numéro <phone>01 42 55 50 12</phone> merci
+appelez le <phone>04.91.55.50.12</phone> avant midi
+llame al <phone>91 555 01 23</phone> por favor
+movil <phone>655 501 234</phone> gracias
+whatsapp <phone>655-501-234</phone> tardes
+reach <email><anna@localhost></email> there
+by <email><root@backup></email> each night
+cc <email>(ops@intranet)</email> and go
+mailto <email>mail:joe@corp</email> ok
+sender <email>[jane_d@mailhost]</email> said
+gateway <ip>ip:10.20.30.40</ip> up
+node <ip>(172.16.5.9)</ip> left
+charge <card>4111.1111.1111.1111</card> now
+visa <card>card:4012888888881881</card> kept
+amex <card>3714-496353-98431</card> on file
+bought 12/24 cans and 3/4 of a pie
+ratio 16/9 and 21/9 screens
+open 9-17 and 10-14 on days 6/7
+score 21-15, 21-18 after 2 sets
+lot 12.345.678 units sold
+sum 1.234.567,89 in total
+page:12 line:34 col:5 of file
+grid (12)(34) and (5) left
+steps 1/3, 2/3 and 3/3 done
+chr1:155-160 and chr2:10-12 regions
+time:12-30 date:11/05 hall:3
+size 10x20x30 in 2 boxes
+team @home and @away at 20:15
+a@b and x@y are formulas in 2 rows
 item 62. and 57. then 24. follow
 on page 14 of 230 there are 3 tables
 version 2.10.3 was released in 2024
