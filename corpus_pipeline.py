@@ -27,17 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of several with this id a hash of the whole row chooses, always alike; an id comes before none. Different
     texts of one id are different documents. Of texts without words one of each id stays, and all without an id.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    # Two hashes tell rows apart without their texts; nulls, which a hash skips, are counted beside.
-    marked = docs.withColumns({f"__h{k}": F.xxhash64(F.lit(k), *columns, *[c.isNull() for c in columns]) for k in (0, 1)})
-    mark = ["__h0", "__h1"]
-    rows = jaccard_trie.near_duplicate_rows(marked, more=tuple(mark))
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", *mark)).alias("first")
-    stay = rows.filter("n_shingles > 0").groupBy("root").agg(first)
-    stay = stay.select("first.*").union(rows.filter("n_shingles = 0 and id is not null").groupBy("id").agg(first).select("first.*"))
-    blank = rows.filter("n_shingles = 0 and id is null").select(mark)
-    named = marked.join(stay.select(mark), mark, "left_semi").dropDuplicates(mark)
-    return named.select(docs.columns).union(marked.filter("doc_id is null").join(blank, mark, "left_semi").select(docs.columns))
+    return jaccard_trie.one_of_each_group(docs)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
