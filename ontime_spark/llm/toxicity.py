@@ -178,9 +178,11 @@ def score(
                 total = np.bincount(text_of, np.logaddexp(0, s), minlength=len(offsets) - 1)
                 scores[first : first + len(offsets) - 1] = -np.expm1(-total)
                 opens = np.searchsorted(text_of, np.arange(len(offsets)))
+                read, whole = -1, b""
                 for k in np.flatnonzero(s >= 0):
                     row = int(text_of[k])
-                    whole = low[first + row].as_py().encode()
+                    if row != read:  # a text's offending sentences follow each other
+                        read, whole = row, low[first + row].as_py().encode()
                     a = int(at[k] - offsets[row])
                     last = k + 1 == opens[row + 1]
                     b = len(whole) if last else int(at[k + 1] - offsets[row])

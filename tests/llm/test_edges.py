@@ -482,3 +482,70 @@ def test_words_are_read_whole():
     field = pii.train()
     text = "word " + "x1" * 5000 + " call (212)555-0142 now"
     assert [(k, text[a:b]) for a, k, b in pii.field_spans([text], field)[0]] == [("phone", "(212)555-0142")]
+
+
+MASK = (1 << 64) - 1
+
+
+def plain_mix(h):
+    h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+    h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & MASK
+    return h ^ (h >> 31)
+
+
+def plain_hash(word, more=0):
+    placed = (plain_mix((plain_mix(place << 8 | byte) + 0x9E3779B97F4A7C15) & MASK) for place, byte in enumerate(word))
+    return plain_mix((sum(placed) + more) & MASK)
+
+
+def test_toxicity_against_a_plain_scorer(spark):
+    """Sentences, words, beginnings of words and the noisy-or, one by one."""
+    rng = np.random.default_rng(6)
+    model = toxicity.Model(rng.normal(0, 0.5, 1 << toxicity.BUCKET_BITS).astype(np.float32), -2.0)
+    vocabulary = ["bad", "Word", "été", "x1", "a" * 90, "...", "?!", "\n", "--", ".", "good"]
+    texts = [None, "", " . ! "] + [" ".join(rng.choice(vocabulary, rng.integers(0, 25))) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r["id"]: r for r in toxicity.score(frame, model, keep_columns=["id"]).collect()}
+    shift = 64 - toxicity.BUCKET_BITS
+    for i, text in enumerate(texts):
+        good, offending = 1.0, []
+        pieces = [re.findall(rb"[a-z0-9\x80-\xff]+", p) for p in re.split(rb"[.!?\n]", (text or "").lower().encode())]
+        for k, words_ in enumerate(p for p in pieces if p):
+            s = model.bias + sum(
+                model.weights[plain_hash(w) >> shift] + model.weights[plain_hash(w[: toxicity.HEAD_BYTES], 1) >> shift] for w in words_
+            )
+            good *= 1 - 1 / (1 + np.exp(-s))
+            if s >= 0:
+                offending.append(k)
+        assert got[i]["score"] == pytest.approx(1 - good, abs=1e-5)
+        assert [o["position"] for o in got[i]["offending"]] == offending
+
+
+def test_language_against_a_plain_scorer(spark, docs):
+    """Subwords, their mean and the tempered softmax, one by one; equal scores go to the first language."""
+    rng = np.random.default_rng(7)
+    scores = rng.normal(0, 1, (1 << language.BUCKET_BITS, 3)).astype(np.float32)
+    scores[:, 2] = scores[:, 1]  # a tie everywhere
+    model = language.Model(["aa", "bb", "cc"], scores, np.array([0.1, 0.2, 0.2]), 0.7, 0.5)
+    texts = ["Hello there, you", "a", "été à la mer", "b2b c3", "x" * 300] + ["".join(rng.choice(list("abc éÀ.9"), 40)) for _ in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for r in language.predict(frame, model, keep_columns=["id", "text"]).collect():
+        data = [b if _is_letter(b) else 32 for b in r["text"].lower().encode()]
+        held = []
+        for order in language.ORDERS:
+            for a in range(len(data) - order + 1):
+                h, letters = order, 0
+                for b, factor in zip(data[a : a + order], language._FACTORS):
+                    h = ((h ^ b) * int(factor)) & 0xFFFFFFFF
+                    h ^= h >> 15
+                    letters += b != 32
+                if letters >= min(2, order - 1):
+                    held.append(h >> (32 - language.BUCKET_BITS))
+        z = (scores[held].astype(float).mean(axis=0) if held else np.zeros(3)) + model.bias
+        p = np.exp((z - z.max()) / model.temperature)
+        assert r["lang_pred"] == ("aa" if z[0] >= z[1] else "bb")
+        assert r["score"] == pytest.approx(p.max() / p.sum(), abs=1e-5)
+
+
+def _is_letter(byte):
+    return 97 <= byte <= 122 or 65 <= byte <= 90 or byte >= 128
