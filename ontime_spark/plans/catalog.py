@@ -797,11 +797,24 @@ def stream_scoring_capped(spark, sf_dir):
     return streamed_predictions(spark, sf_dir, fixed_model(), cap=50)
 
 
-def write_topic(messages: DataFrame, path: str, days: list[tuple[int, int]]) -> None:
-    """Messages of some days of the month as files of a topic, one file each, in this order."""
+MESSAGES_A_FILE = 200_000
+
+
+def of_days(days: tuple[int, int]) -> Column:
     day = F.dayofmonth("timestamp")
-    for low, high in days:
-        messages.where((day >= low) & (day < high)).coalesce(1).write.mode("append").parquet(path)
+    return (day >= days[0]) & (day < days[1])
+
+
+def files_needed(messages: DataFrame, feeds: list[list[tuple[int, int]]]) -> int:
+    """Files for the fullest of the spans of days, so that no task reads or writes more than a bounded part of it."""
+    rows = messages.agg(*(F.count_if(of_days(days)) for feed in feeds for days in feed)).first()
+    return max(1, -(-max(rows) // MESSAGES_A_FILE))
+
+
+def write_topic(messages: DataFrame, path: str, days: list[tuple[int, int]], files: int = 1) -> None:
+    """Messages of some days of the month as files of a topic, so many files each, in this order."""
+    for some in days:
+        messages.where(of_days(some)).repartition(files).write.mode("append").parquet(path)
 
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -810,13 +823,17 @@ def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fed_marts(spark: SparkSession, messages: DataFrame, feeds: list[list[tuple[int, int]]]) -> str:
-    """Marts fed by one query that starts anew for each of ``feeds`` and takes a file a batch."""
-    root = scratch_path(spark, "fed-marts")
+    """Marts fed by one query that starts anew for each of ``feeds`` and takes a span of days a batch.
+
+    All spans have as many files, which is what a batch takes. One of fewer rows than files has fewer of them
+    and shares its batch with the next, for the same marts.
+    """
+    root, files = scratch_path(spark, "fed-marts"), files_needed(messages, feeds)
     for days in feeds:
-        write_topic(messages.select("key", "value", "timestamp"), f"{root}/topic", days)
+        write_topic(messages.select("key", "value", "timestamp"), f"{root}/topic", days, files)
 
         def start():
-            topic = read_events(spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{root}/topic")
+            topic = read_events(spark, "parquet", {"maxFilesPerTrigger": str(files)}, f"{root}/topic")
             return [streams.start_marts(topic, f"{root}/marts", f"{root}/checkpoints", "timestamp", {"availableNow": True})]
 
         streams.run_queries(spark, start)

@@ -303,3 +303,14 @@ def test_runs_of_two_checkpoints_differ():
 
 def test_fixed_model_is_a_pipeline():
     assert isinstance(catalog.fixed_model(), PipelineModel)
+
+
+def test_a_large_span_of_days_is_several_files(spark, sf_dir, tmp_path, monkeypatch):
+    """No task reads or writes a whole span; each span has the files that a batch takes."""
+    monkeypatch.setattr(catalog, "MESSAGES_A_FILE", 10)
+    messages, path = catalog.topic_messages(spark, sf_dir), str(tmp_path / "topic")
+    files = catalog.files_needed(messages, [catalog.WEEKS])
+    catalog.write_topic(messages, path, catalog.WEEKS[:2], files)
+    written = spark.read.parquet(path)
+    assert files > 1 and len(written.inputFiles()) == 2 * files
+    assert written.count() == messages.where(catalog.of_days((1, 17))).count()
