@@ -99,3 +99,13 @@ def test_importance_names_follow_the_model(spark, sf_dir):
     done = training.train(testdata.flights(spark, sf_dir), pipeline, key="eventId")
     assert forest.feature_names(done.model) == ["origin", *numbers]
     assert {r["feature_name"] for r in done.importance.collect()} == {"origin", *numbers}
+
+
+def test_a_row_keeps_the_node_it_has_reached(spark, sf_dir, trained):
+    """Without walking each tree anew in every pass, and to the same forest."""
+    stage = forest.build_pipeline().getStages()[-1]
+    assert stage.getCacheNodeIds()
+    walking = forest.build_pipeline(trees=5, depth=4)
+    walking.getStages()[-1].setCacheNodeIds(False)
+    again = training.train(testdata.flights(spark, sf_dir), walking, fraction=0.9, seed=7)
+    assert again.model.stages[-1].toDebugString.split("\n")[1:] == trained.model.stages[-1].toDebugString.split("\n")[1:]
