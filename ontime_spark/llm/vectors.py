@@ -84,11 +84,22 @@ class ProjectedTree:
         return (gap * gap).sum(axis=1)
 
 
-FIRST_LEAVES, FIRST_POINTS = 4, 256
+def chi_square_quantile(chance: float, freedom: int) -> float:
+    """The x that a chi-square variable of an even number of degrees stays below with this chance."""
+    low, high = 0.0, 1400.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, freedom) < chance else (low, middle)
+    return high
+
+
+FIRST_LEAVES = 4
+STEPS = (256, 1024, 4096)  # so many projected neighbours, about, after which the search looks again how far to go
+SAMPLED = 16  # the distances that so many neighbours reach are read off every 16th point
 
 
 class ProjectedBlock:
-    """A block's vectors with their projections in a kd-tree.
+    """A block's vectors with their projections in a kd-tree, both in the order of its leaves.
 
     With a last component that gives all candidates the norm ``greatest``, and 0 for queries, a larger
     inner product is a smaller distance. A squared projected distance over the squared distance is
@@ -96,60 +107,71 @@ class ProjectedBlock:
     """
 
     def __init__(self, ids: np.ndarray, v: np.ndarray, greatest: float, dimensions: int, confidence: float, seed: int):
-        self.ids, self.v, self.greatest, self.confidence = ids, v, greatest, confidence
+        self.greatest = greatest
         self.projection = np.random.default_rng((seed, v.shape[1])).standard_normal((v.shape[1] + 1, dimensions))
         last = np.sqrt(np.maximum(greatest**2 - (v * v).sum(axis=1), 0))
-        self.points = v @ self.projection[:-1] + last[:, None] * self.projection[-1]
-        self.tree = ProjectedTree(self.points)
+        points = v @ self.projection[:-1] + last[:, None] * self.projection[-1]
+        self.tree = ProjectedTree(points)
+        order = np.concatenate(self.tree.leaves)
+        self.ids, self.v, self.points = ids[order], v[order], points[order]
+        self.squares = (self.points * self.points).sum(axis=1)
+        self.sizes = np.array([len(leaf) for leaf in self.tree.leaves])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.quantile = chi_square_quantile(confidence, dimensions)
         self.verified = 0
 
+    def _inside(self, leaves: np.ndarray) -> np.ndarray:
+        """Where the points of some leaves are."""
+        sizes = self.sizes[leaves]
+        return np.arange(sizes.sum()) + np.repeat(self.starts[leaves] - np.cumsum(sizes) + sizes, sizes)
+
     def search(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int, float]]:
         """(query, id, inner product) of the k best, by incremental projected neighbours.
 
-        Leaves open by growing distance of their boxes; the points of open leaves that are nearer than the
-        next box are the next projected neighbours, and are verified in their order. The search ends when a
-        neighbour nearer than the kth verified would, with ``confidence``, have come before the next one.
+        Projected neighbours are verified by growing distance. The search ends when a neighbour nearer than
+        the kth verified would, with the block's confidence, have come before the next one: beyond the
+        chi-square quantile times the kth distance. The kth distance in the leaves with the nearest boxes bounds
+        that from the start, and leaves with boxes beyond it stay closed.
         """
-        freedom = self.points.shape[1]
         length = float((q * q).sum()) + self.greatest**2
         projected = q @ self.projection[:-1]
         gaps = self.tree.distances(projected)
-        order = np.argsort(gaps, kind="stable")
-        opened, waiting, away = 0, np.zeros(0, np.int64), np.zeros(0)
-        at, near, kth = np.zeros(0, np.int64), np.zeros(0), math.inf
-
-        def settled(distance: float) -> bool:
-            return len(near) >= k and chi_square(distance / max(kth, 1e-300), freedom) >= self.confidence
-
-        while opened < len(order) or len(waiting):
-            step = order[opened : opened + max(FIRST_LEAVES, opened // 2)]
-            opened += len(step)
-            edge = gaps[order[opened]] if opened < len(order) else math.inf
-            if len(step):
-                fresh = np.concatenate([self.tree.leaves[j] for j in step])
-                gap = self.points[fresh] - projected
-                waiting, away = np.concatenate([waiting, fresh]), np.concatenate([away, (gap * gap).sum(axis=1)])
-            sure = away <= edge  # none of a closed leaf comes before these
-            ready, far = waiting[sure], away[sure]
-            waiting, away = waiting[~sure], away[~sure]
-            turn = np.argsort(far, kind="stable")
-            ready, far = ready[turn], far[turn]
-            taken = 0
-            while taken < len(ready):
-                if settled(far[taken]):
-                    break
-                some = ready[taken : taken + max(FIRST_POINTS, len(at))]
-                taken += len(some)
-                self.verified += len(some)
-                some = some[self.ids[some] != query_id]
-                at, near = np.concatenate([at, some]), np.concatenate([near, self.v[some] @ q])
-                if len(near) > k:
-                    least = np.partition(near, -k)[-k]
-                    best = near >= least - 1e-9 * (1 + abs(least))  # all ties stay
-                    at, near = at[best], near[best]
-                if len(near) >= k:
-                    kth = max(length - 2 * np.partition(near, -k)[-k], 0)
-            if taken < len(ready) or settled(edge):
+
+        def verify(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            self.verified += len(some)
+            some = some[self.ids[some] != query_id]
+            return some, self.v[some] @ q
+
+        def reach(near: np.ndarray) -> float:
+            """The projected distance beyond which the search need not go, with what rounding may add."""
+            if len(near) < k:
+                return math.inf
+            return max(length - 2 * np.partition(near, -k)[-k], 0) * self.quantile + 1e-9 * length
+
+        first = np.argsort(gaps, kind="stable")[:FIRST_LEAVES]
+        at, near = verify(self._inside(first))  # these stay, so k are found wherever the end is
+        start, end = -math.inf, reach(near)
+        open_leaf = gaps <= end
+        open_leaf[first] = False
+        opened = self._inside(np.flatnonzero(open_leaf))
+        everywhere = 2 * len(opened) > len(self.ids)  # quicker as they lie; a closed leaf's points are beyond the end
+        among = slice(None) if everywhere else opened
+        away = self.squares[among] - 2 * (self.points[among] @ projected) + projected @ projected
+        if everywhere:
+            away[self._inside(first)] = start
+        sample = np.sort(away[::SAMPLED])
+        sample = sample[np.searchsorted(sample, start, "right") :]
+        for edge in [*(sample[s // SAMPLED] for s in STEPS if s // SAMPLED < len(sample)), math.inf]:
+            edge = min(edge, end)
+            some = np.flatnonzero((away > start) & (away <= edge))
+            fresh, scores = verify(some if everywhere else opened[some])
+            at, near = np.concatenate([at, fresh]), np.concatenate([near, scores])
+            if len(near) > k:
+                least = np.partition(near, -k)[-k]
+                best = near >= least - 1e-9 * (1 + abs(least))  # all ties stay
+                at, near = at[best], near[best]
+            start, end = edge, min(end, reach(near))
+            if start >= end:
                 break
         exact = (self.v[at] * q).sum(axis=1)  # one row at a time: equal vectors score equally
         first = np.lexsort((self.ids[at], -exact))[:k]

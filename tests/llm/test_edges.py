@@ -192,6 +192,46 @@ def test_vectors_of_two_lengths_in_many_blocks(spark, monkeypatch):
         assert 1000 not in found  # alone in its length
 
 
+def projected_block(v, confidence=0.9):
+    greatest = float(np.sqrt((v * v).sum(axis=1).max())) * (1 + 1e-12)
+    return vectors.ProjectedBlock(np.arange(len(v)), v, greatest, 24, confidence, 3)
+
+
+def test_projected_search_looks_equally_often_in_a_large_block(monkeypatch):
+    v = np.random.default_rng(5).standard_normal((8192, 64))
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    block, looks, partition = projected_block(v), [], np.partition
+    monkeypatch.setattr(np, "partition", lambda *a, **k: looks.append(1) or partition(*a, **k))
+    hits = 0
+    for i in range(0, 8192, 256):
+        looks.clear()
+        found = block.search(i, v[i], 20)
+        assert len(looks) <= 9
+        score = v @ v[i]
+        score[i] = -np.inf
+        hits += len(set(np.argsort(-score)[:20].tolist()) & {f[1] for f in found})
+    assert hits >= 0.9 * 20 * 32
+
+
+@pytest.mark.parametrize("confidence", [0.01, 0.3, 0.9])
+def test_projected_search_finds_as_many_as_asked(confidence):
+    v = np.random.default_rng(7).standard_normal((3000, 64))
+    block = projected_block(v, confidence)
+    for i in range(0, 3000, 30):
+        found = block.search(i, v[i], 20)
+        assert len({f[1] for f in found} - {i}) == len(found) == 20
+
+
+def test_projected_search_meets_every_copy():
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((3000, 64))
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    v[rng.permutation(3000)[:1500]] = v[7]
+    copies = np.flatnonzero((v == v[7]).all(axis=1))
+    found = projected_block(v).search(7, v[7], 20)
+    assert [f[1] for f in found] == [i for i in copies.tolist() if i != 7][:20]
+
+
 def test_mixing(spark, docs, empty):
     rows = mixing.mix(docs, weights={"a": 3.0, "c": 1.0}).collect()
     assert {r["source"] for r in rows} <= {"a", "c"}
