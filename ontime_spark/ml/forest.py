@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ontime_spark.functions.numeric import round_half_up
+from ontime_spark.ml.nodes import Forest
 from ontime_spark.operators.records import fill_missing_delays
+from ontime_spark.session import scratch_path
 
 LABEL = "arrDelay"
 # The text and number features, in vector order.
@@ -102,6 +104,27 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(fill_missing_delays(df))
 
 
+def scorer(spark: SparkSession, model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
+    """What :func:`score` does, made ready once for many rows.
+
+    A forest at the end of the model takes Arrow batches down its trees, for the same predictions in less
+    time. The driver holds its nodes, as it does the model. Other models are used as they are.
+    """
+    last = model.stages[-1]
+    assembler = next((s for s in model.stages if isinstance(s, VectorAssembler)), None)
+    if not isinstance(last, RandomForestRegressionModel) or assembler is None or assembler.getOutputCol() != last.getFeaturesCol():
+        return lambda df: score(df, model)
+    held = Forest(node_table(spark, model, scratch_path(spark, "forest")).toArrow(), assembler.getInputCols())
+    predict = F.arrow_udf(lambda features: held.predict_lists(features), "double")
+    stages = PipelineModel(model.stages[:-1])
+
+    def scored(df: DataFrame) -> DataFrame:
+        rows = stages.transform(fill_missing_delays(df))
+        return rows.withColumn(last.getPredictionCol(), predict(vector_to_array(last.getFeaturesCol())))
+
+    return scored
+
+
 def prediction_rows(scored: DataFrame, *keep: str) -> DataFrame:
     """Scored events as rows of the predictions table, minutes to two places."""
     return scored.select(

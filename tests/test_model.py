@@ -2,11 +2,12 @@
 
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from ontime_spark.ml import forest, training
+from ontime_spark.ml import forest, nodes, training
 from ontime_spark.operators.records import clean_for_training
 from ontime_spark.sources import testdata
 from ontime_spark.sources.marts import read_mart
@@ -109,3 +110,29 @@ def test_a_row_keeps_the_node_it_has_reached(spark, sf_dir, trained):
     walking.getStages()[-1].setCacheNodeIds(False)
     again = training.train(testdata.flights(spark, sf_dir), walking, fraction=0.9, seed=7)
     assert again.model.stages[-1].toDebugString.split("\n")[1:] == trained.model.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_a_batch_down_the_trees_gives_the_models_predictions(spark, sf_dir, trained):
+    flights = testdata.flights(spark, sf_dir).withColumn("carrier", F.when(F.col("eventId") % 7 == 0, "unseen").otherwise(F.col("carrier")))
+    flights = flights.withColumn("distance", F.when(F.col("eventId") % 11 != 0, F.col("distance")))
+    own = forest.score(flights, trained.model).select("eventId", F.col("prediction").alias("own"))
+    plan = forest.scorer(spark, trained.model)(flights)
+    both = own.join(plan.select("eventId", "prediction"), "eventId", "full").collect()
+    assert len(both) == own.count() > 0
+    assert all(r["own"] == r["prediction"] for r in both)
+
+
+def test_trees_of_one_node_and_of_listed_categories():
+    names = ["tree", "node", "prediction", "left", "right", "feature", "threshold", "categories"]
+    rows = [
+        (0, 0, 5.0, None, None, None, None, None),
+        (1, 0, 0.0, 1, 2, "c", None, [0.0, 9.0]),
+        (1, 1, 1.0, None, None, None, None, None),
+        (1, 2, 0.0, 3, 4, "x", 0.5, None),
+        (1, 3, 2.0, None, None, None, None, None),
+        (1, 4, 3.0, None, None, None, None, None),
+    ]
+    trees = nodes.Forest(pa.Table.from_pylist([dict(zip(names, r)) for r in rows]), ["x", "c"])
+    x = [[0.5, 0.0], [0.5, 9.0], [0.5, 1.0], [0.6, 30.0], [math.nan, 8.0]]
+    assert trees.predict_lists(pa.array(x)).to_pylist() == [3.0, 3.0, 3.5, 4.0, 4.0]
+    assert trees.predict_lists(pa.array([], pa.list_(pa.float64()))).to_pylist() == []
